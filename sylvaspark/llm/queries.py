@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sylvaspark.llm import jaccard
+from sylvaspark.llm import jaccard, suffixdedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,9 +15,14 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(_documents(spark, sf_dir))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.repeated_spans(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+        "op7_suffix_array_dedup": op7_suffix_array_dedup,
     }
 
 
