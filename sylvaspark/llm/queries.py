@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sylvaspark.llm import jaccard, suffixdedup
+from sylvaspark.llm import jaccard, suffixdedup, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(_documents(spark, sf_dir))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.repeated_spans(_documents(spark, sf_dir))
 
@@ -22,6 +26,7 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+        "op6_toxicity": op6_toxicity,
         "op7_suffix_array_dedup": op7_suffix_array_dedup,
     }
 
