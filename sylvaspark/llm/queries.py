@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sylvaspark.llm import jaccard, suffixdedup, toxicity
+from sylvaspark.llm import fingerprints, jaccard, suffixdedup, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,11 +23,16 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.repeated_spans(_documents(spark, sf_dir))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.incremental_spans(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
         "op6_toxicity": op6_toxicity,
         "op7_suffix_array_dedup": op7_suffix_array_dedup,
+        "op8_substring_dedup": op8_substring_dedup,
     }
 
 
