@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sylvaspark.llm import classlm, fingerprints, jaccard, suffixdedup, toxicity
+from sylvaspark.llm import classlm, fingerprints, jaccard, mixing, packing, suffixdedup, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classlm.perplexities(_documents(spark, sf_dir))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.rates(_documents(spark, sf_dir))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -31,13 +35,19 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.incremental_spans(_documents(spark, sf_dir))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
         "op2_lm_scoring": op2_lm_scoring,
+        "op5_mixing": op5_mixing,
         "op6_toxicity": op6_toxicity,
         "op7_suffix_array_dedup": op7_suffix_array_dedup,
         "op8_substring_dedup": op8_substring_dedup,
+        "op9_packing": op9_packing,
     }
 
 
