@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sylvaspark.llm import classlm, fingerprints, jaccard, mixing, packing, suffixdedup, toxicity
+from sylvaspark.llm import balltree, classlm, fingerprints, jaccard, mixing, packing, projections, sharding, suffixdedup, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,14 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classlm.perplexities(_documents(spark, sf_dir))
 
 
+def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(_documents(spark, sf_dir))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.rates(_documents(spark, sf_dir))
 
@@ -39,17 +47,40 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_documents(spark, sf_dir))
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projections.near_groups(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
         "op2_lm_scoring": op2_lm_scoring,
+        "op3_topk_search": op3_topk_search,
+        "op4_sharding": op4_sharding,
         "op5_mixing": op5_mixing,
         "op6_toxicity": op6_toxicity,
         "op7_suffix_array_dedup": op7_suffix_array_dedup,
         "op8_substring_dedup": op8_substring_dedup,
         "op9_packing": op9_packing,
+        "op10_embedding_near_dedup": op10_embedding_near_dedup,
     }
 
 
+TOP_K_SQL = f"""
+WITH v AS (SELECT vec_id, CAST(min(embedding) AS DOUBLE[]) AS e FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL GROUP BY vec_id),
+p AS (SELECT a.vec_id, b.vec_id AS neighbor_id, round(list_inner_product(a.e, b.e), 9) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, neighbor_id) AS INTEGER) AS rank FROM p)
+SELECT vec_id, rank, neighbor_id, score FROM r WHERE rank <= {balltree.K}
+"""
+
+SHARDING_SQL = f"""
+WITH d AS (SELECT doc_id, CAST(coalesce(strlen(text), 0) AS BIGINT) AS n_bytes, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h FROM documents),
+x AS (SELECT doc_id, n_bytes, h, depth, h >> (32 - depth) AS prefix FROM d, (SELECT unnest(range(0, 33)) AS depth)),
+s AS (SELECT *, sum(n_bytes) OVER w AS bytes, min(h) OVER w = max(h) OVER w AS one FROM x WINDOW w AS (PARTITION BY depth, prefix)),
+f AS (SELECT *, row_number() OVER (PARTITION BY doc_id, h ORDER BY depth) AS k FROM s WHERE bytes <= {sharding.SHARD_BYTES} OR one)
+SELECT doc_id, n_bytes, CAST(depth AS INTEGER) AS shard_depth, CAST(prefix AS BIGINT) AS shard_prefix, CAST(bytes AS BIGINT) AS shard_bytes FROM f WHERE k = 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_topk_search": TOP_K_SQL, "op4_sharding": SHARDING_SQL}
