@@ -4,6 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from sylvaspark.llm import balltree, classlm, fingerprints, jaccard, mixing, packing, projections, sharding, suffixdedup, toxicity
 
 
@@ -63,6 +64,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_packing": op9_packing,
         "op10_embedding_near_dedup": op10_embedding_near_dedup,
+        "pipeline": corpus_pipeline.run,
     }
 
 
