@@ -77,9 +77,11 @@ def _gain(N: np.ndarray, r: np.ndarray, l: np.ndarray, s: float) -> np.ndarray:
     """Gain of log-likelihood from adding a word with right and left class counts r, l and s bigrams with itself to each class."""
     f = lambda x: x * np.log(np.maximum(x, 1e-300))
     rows, cols, diag = N.sum(axis=1), N.sum(axis=0), np.diag(N)
+    fixed = f(rows).sum() - f(rows + l).sum() + f(cols).sum() - f(cols + r).sum()  # the neighbours' classes gain whatever the word's class
+    rows, cols = rows + l, cols + r
     a, b = f(N + r) - f(N), f(N + l[:, None]) - f(N)
     out = a.sum(axis=1) - np.diag(a) + b.sum(axis=0) - np.diag(b) + f(diag + r + l + s) - f(diag)
-    return out - f(rows + r.sum() + s) + f(rows) - f(cols + l.sum() + s) + f(cols)
+    return out + fixed - f(rows + r.sum() + s) + f(rows) - f(cols + l.sum() + s) + f(cols)
 
 
 def exchange(n: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarray:
