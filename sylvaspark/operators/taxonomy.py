@@ -24,17 +24,17 @@ def expand(taxa: DataFrame) -> DataFrame:
     """Wide ancestry of the active taxa: an id and a name for each of the 30 ranks.
 
     Path elements are looked up among all taxa; unknown ids, null names and ranks outside the table leave no mark; of two on one rank
-    the later in the path counts. One join and one aggregation, all slots at once.
+    the later in the path counts. Hits are partitioned by taxon once; both aggregations and the slots of all ranks come from that.
     """
     known = taxa.where(F.col("name").isNotNull() & F.col("rank_level").isin(*schemas.LEVELS)).select(F.col("taxon_id").alias("anc"), F.col("rank_level").alias("_level"), F.col("name").alias("_name"))
-    hits = lineage(taxa.where("active")).join(known, "anc")
-    slots = []
-    for level in schemas.LEVELS:
-        found = F.max(F.when(F.col("_level") == level, F.struct("pos", "anc", "_name")))
-        slots += [found["anc"].alias(f"{schemas.slot(level)}_taxonID"), found["_name"].alias(f"{schemas.slot(level)}_name")]
-    wide = hits.groupBy("taxon_id").agg(*slots)
+    hits = lineage(taxa.where("active")).join(known, "anc").repartition("taxon_id")
+    by_rank = hits.groupBy("taxon_id", "_level").agg(F.max_by(F.struct("anc", "_name"), "pos").alias("_hit"))
+    slots = by_rank.groupBy("taxon_id").agg(F.map_from_entries(F.collect_list(F.struct("_level", "_hit"))).alias("_slots"))
     own = taxa.where("active").select("taxon_id", F.col("rank_level").alias("rankLevel"), "rank", "name", F.lit(True).alias("taxonActive"))
-    return own.join(wide, "taxon_id", "left").withColumnRenamed("taxon_id", "taxonID")
+    wide = own.join(slots, "taxon_id", "left").withColumnRenamed("taxon_id", "taxonID")
+    hit = lambda level: F.try_element_at("_slots", F.lit(float(level)))
+    columns = [hit(level)[field].alias(f"{schemas.slot(level)}_{name}") for level in schemas.LEVELS for field, name in (("anc", "taxonID"), ("_name", "name"))]
+    return wide.select("taxonID", "rankLevel", "rank", "name", "taxonActive", *columns)
 
 
 def immediate_ancestor(levels: Iterable[float] = schemas.LEVELS) -> tuple[Column, Column]:

@@ -56,7 +56,7 @@ def closure_of(gate: DataFrame, wide: DataFrame, spec: ExportSpec) -> DataFrame:
 
 
 def run(obs: DataFrame, photos: DataFrame, taxa: DataFrame, spec: ExportSpec, wide: DataFrame | None = None, gate: DataFrame | None = None) -> DataFrame:
-    """The sorted export. `wide` and `gate` may be kept stages."""
+    """The sorted export. `wide` and `gate` may be kept stages; `wide` is read several times, so it is best a table."""
     box = registry.region(spec.region)
     box = box if spec.scale == 1 else box.scaled(spec.scale)
     wide = taxonomy.expand(taxa) if wide is None else wide

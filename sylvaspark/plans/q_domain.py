@@ -189,7 +189,7 @@ W5C = ["taxonID", "rankLevel", "name", *[f"{s}_{x}" for x in ("taxonID", "name")
 
 @query("hie_01_expand", f"SELECT {W5} FROM wide")
 def _(r):
-    return r.wide.select(W5C)
+    return taxonomy.expand(r.taxa).select(W5C)
 
 
 @query("hie_02_wide_schema", "SELECT CAST(30 AS BIGINT) AS ids, CAST(30 AS BIGINT) AS names FROM region WHERE r_regionkey = 0")

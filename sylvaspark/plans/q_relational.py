@@ -806,7 +806,7 @@ _grade = "NOT (quality_grade <> 'research' AND w.\"L10_taxonID\" IS NOT NULL)"
 
 
 def flagship(r):
-    return run_export(r.obs, r.photos, r.taxa, SPEC).select(EXPORT_COLS)
+    return run_export(r.obs, r.photos, r.taxa, SPEC, r.wide).select(EXPORT_COLS)
 
 
 query("exp_01_capped_export", EXPORT.format(boundary=60, region="TRUE", where=f"AND {IN_NA}", grade=_grade, primary="p.position = 0"))(flagship)
@@ -816,9 +816,9 @@ query("exp_01_capped_export", EXPORT.format(boundary=60, region="TRUE", where=f"
 def _(r):
     from dataclasses import replace
 
-    return run_export(r.obs, r.photos, r.taxa, replace(SPEC, out_of_region=True, minor_ranks=True, mode="ALL", primary_only=False)).select(EXPORT_COLS)
+    return run_export(r.obs, r.photos, r.taxa, replace(SPEC, out_of_region=True, minor_ranks=True, mode="ALL", primary_only=False), r.wide).select(EXPORT_COLS)
 
 
 @query("snk_04_export_summary", EXPORT.format(boundary=60, region="TRUE", where=f"AND {IN_NA}", grade=_grade, primary="p.position = 0").replace("SELECT observation_uuid, c.taxon_id, in_region", "SELECT count(DISTINCT observation_uuid) AS n_obs, count(DISTINCT c.taxon_id) AS n_taxa, count(photo_id) AS n_photos FROM c JOIN photos p USING (observation_uuid) WHERE p.position = 0 --").split("--")[0])
 def _(r):
-    return export.summary(run_export(r.obs, r.photos, r.taxa, SPEC)).select("n_obs", "n_taxa", "n_photos")
+    return export.summary(run_export(r.obs, r.photos, r.taxa, SPEC, r.wide)).select("n_obs", "n_taxa", "n_photos")

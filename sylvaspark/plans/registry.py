@@ -1,14 +1,13 @@
 """Where queries are registered with their SQL for the oracle."""
 
-import atexit
-import shutil
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from sylvaspark.plans.roles import Roles, with_roles
+from sylvaspark.plans.scratch import scratch
+
+__all__ = ["QUERIES", "SQL", "queries", "query", "scratch"]
 
 QUERIES: dict[str, Callable[[Roles], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -29,17 +28,3 @@ def query(name: str, sql: str | None = None):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: (lambda spark, sf_dir, f=f: f(Roles(spark, sf_dir))) for name, f in QUERIES.items()}
-
-
-_own: list[str] = []
-
-
-def scratch(spark: SparkSession) -> str:
-    """A new path in the folder that executors share; without spark.checkpoint.dir a temporary one that goes with the process."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        if not _own:
-            _own.append(tempfile.mkdtemp(prefix="scratch-"))
-            atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
-        base = "file://" + _own[0]
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sylvaspark.operators import taxonomy
+from sylvaspark.plans.scratch import kept
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
@@ -210,4 +211,5 @@ class Roles:
 
     @cached_property
     def wide(self) -> DataFrame:
-        return taxonomy.expand(self.taxa)
+        """The expanded taxa as a table, as several parts of a plan read it."""
+        return kept(taxonomy.expand(self.taxa))

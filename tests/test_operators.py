@@ -59,9 +59,10 @@ def test_expansion_edges(taxa):
     assert out[10].immediateAncestor_taxonID is None
 
 
-def test_expansion_is_one_aggregation(taxa):
-    plan = taxonomy.expand(taxa)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Aggregate") == 1
+def test_expansion_shuffles_hits_once(taxa):
+    plan = taxonomy.expand(taxa)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == 1 and "hashpartitioning(taxon_id#" in plan
+    assert plan.count("Exchange hashpartitioning(taxon_id") <= 3 and "_level#" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
 
 
 def test_closure_and_independence(spark, taxa):
