@@ -11,7 +11,7 @@ Defined results
 - Repetitions within one document aren't reported, nor is a document that is added again against itself.
 - Null, empty and shorter texts give no rows and aren't indexed; rows without doc_id are left out; other columns are ignored;
   an empty batch leaves the index as it is. Texts of any length are read whole.
-Windows are equal when 96 bits (64 of the anchor, 32 of the digest) are. A lost executor's bucket is done again with the same result: files
+Windows are equal when 128 bits (64 of the anchor, 64 of the digest) are. A lost executor's bucket is done again with the same result: files
 are written aside and moved into place.
 """
 
@@ -38,7 +38,7 @@ def _rows(length: int, buckets: int):
                 words = textkit.Words(texts.slice(at, to - at))
                 r = windows.Runs(words, length)
                 digest = textkit.rolling_hash(words.hash, length)
-                digest = (digest >> np.uint64(32)).astype(np.uint32)[windows.ranges(r.at, r.count)]
+                digest = digest[windows.ranges(r.at, r.count)]
                 packed = shared.binaries(digest, np.concatenate(([0], np.cumsum(r.count))))
                 bucket = (r.key % np.uint64(buckets)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(textkit.signed(r.key)), pa.array(ids[at + r.doc]), pa.array(r.start.astype(np.int32)), packed], ["bucket", "key", "doc_id", "start", "digests"])
@@ -54,7 +54,7 @@ def _read(folder: str, run: str, bucket: int):
         return None
     with fs.open_input_file(path) as f:
         t = ipc.open_file(f).read_all()
-    return (shared.column(t, "key").to_numpy(), shared.column(t, "doc_id").to_numpy(), *shared.ragged(t, "digests", np.uint32))
+    return (shared.column(t, "key").to_numpy(), shared.column(t, "doc_id").to_numpy(), *shared.ragged(t, "digests", np.uint64))
 
 
 def _write(folder: str, run: str, bucket: int, key: np.ndarray, doc: np.ndarray, digests: np.ndarray, count: np.ndarray) -> None:
@@ -76,7 +76,7 @@ def _join(parts):
     """Runs' rows as one (key, doc, digests, count)."""
     parts = [p for p in parts if p is not None]
     if not parts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts]), np.concatenate([np.diff(p[3]) for p in parts])
 
 
@@ -101,7 +101,7 @@ def _firsts(key, doc, digests, count, old):
 def _merge(folder: str, runs: list[str], run: str, length: int):
     def one(bucket, g):
         key, doc, start = (shared.column(g, c).to_numpy() for c in ("key", "doc_id", "start"))
-        digests, ptr = shared.ragged(g, "digests", np.uint32)
+        digests, ptr = shared.ragged(g, "digests", np.uint64)
         h = _join([_read(folder, r, bucket) for r in runs])
         known = np.isin(h[0], key)  # merge join by anchor: only runs' rows with an anchor of the batch take part
         hptr = np.concatenate(([0], np.cumsum(h[3])))
@@ -143,7 +143,7 @@ def _compact(folder: str, runs: list[str], run: str):
 
 
 class FingerprintIndex:
-    """add(batch) -> spans of the batch that were seen before. `buckets` is fixed at the start; the index takes about as many bytes as the texts."""
+    """add(batch) -> spans of the batch that were seen before. `buckets` is fixed at the start; the index takes up to twice the bytes of the texts."""
 
     def __init__(self, spark: SparkSession, folder: str, buckets: int, length: int = windows.LENGTH, fanout: int = FANOUT):
         self.spark, self.folder, self.buckets, self.length, self.fanout = spark, folder, buckets, length, fanout
@@ -188,7 +188,7 @@ def incremental_spans(docs: DataFrame, batches: int = 4, length: int = windows.L
     low, high, total = ids.agg(F.min("doc_id"), F.max("doc_id"), F.sum(F.octet_length("text"))).first()
     if low is None:
         return spark.createDataFrame([], suffixdedup.SPANS)
-    index = FingerprintIndex(spark, shared.shared_dir(spark), max(12, -(-int(total or 0) // BUCKET_BYTES)), length)
+    index = FingerprintIndex(spark, shared.shared_dir(spark), max(12, -(-2 * int(total or 0) // BUCKET_BYTES)), length)
     step = -(-(high - low + 1) // batches)
     out = None
     for k in range(batches):
