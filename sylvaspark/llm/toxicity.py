@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from sylvaspark.llm import shared, textkit
 
 T, STRIDE, H, SLOTS = 32, 16, 8, 1 << 18
-TOXIC_DOCS, CLEAN_DOCS, TRAIN_CHARS = 1500, 3000, 10_000
+TOXIC_DOCS, CLEAN_DOCS, TRAIN_CHARS = 1000, 2000, 10_000
 SCHEMA = "doc_id long, score double, n_windows int, toxic boolean"
 
 
