@@ -95,9 +95,9 @@ def tree_pairs(size: np.ndarray, sig: np.ndarray, t: float) -> tuple[np.ndarray,
         lo, hi, least, bits = levels[depth - 1]
         step = np.arange(fan)
         found = []
-        for s in range(0, len(a), 1 << 12):  # bounded memory
-            x = np.repeat(a[s : s + (1 << 12), None] * fan + step, fan, axis=1).reshape(-1)
-            y = np.tile(b[s : s + (1 << 12), None] * fan + step, (1, fan)).reshape(-1)
+        for s in range(0, len(a), 1 << 10):  # bounded memory
+            x = np.repeat(a[s : s + (1 << 10), None] * fan + step, fan, axis=1).reshape(-1)
+            y = np.tile(b[s : s + (1 << 10), None] * fan + step, (1, fan)).reshape(-1)
             ok = (x <= y if depth > 1 else x < y) & (x < len(lo)) & (y < len(lo))
             x, y = x[ok], y[ok]
             ok = (hi[x] >= t * lo[y]) & (hi[y] >= t * lo[x])
@@ -128,8 +128,8 @@ def _candidates(t: float, keys: int):
                 x, y = tree_pairs(size[s : s + m], sig[s : s + m], t)
                 pairs.append((x + s, y + s))
             for a, b in pairs:
-                for s in range(0, len(a), 1 << 18):
-                    x, y = a[s : s + (1 << 18)], b[s : s + (1 << 18)]
+                for s in range(0, len(a), 1 << 16):
+                    x, y = a[s : s + (1 << 16)], b[s : s + (1 << 16)]
                     same = (mh[x] == mh[y]).argmax(axis=1)
                     ok = (same == which[x]) & (ids[x] != ids[y])  # a pair belongs to the first key that it shares
                     x, y = x[ok], y[ok]

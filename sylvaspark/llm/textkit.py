@@ -86,7 +86,7 @@ class Words:
         return self.data[self.start[i] : self.end[i]].tobytes()
 
 
-def slices(column: pa.Array, most: int = 8 << 20):
+def slices(column: pa.Array, most: int = 4 << 20):
     """Row ranges of a column with about `most` bytes of text each, at least one row."""
     if not len(column):
         return
