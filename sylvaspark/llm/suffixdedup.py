@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 
 from sylvaspark.llm import induced, shared, textkit, windows
 
-BUDGET = 48 << 20
+BUDGET = 16 << 20
 #: Words of distinct runs that one suffix array takes. A longer shard is cut between anchors, which never need each other.
-SHARD_WORDS = 4 << 20
+SHARD_WORDS = 3 << 18
 SPANS = "doc_id long, start_word long, n_words long, first_doc_id long"
 
 
