@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from sylvaspark.llm import shared, textkit
 
 N, ROUTE_N, THRESHOLD, KEYS, WORDS64 = 2, 4, 0.5, 10, 8
-LEAF, FANOUT, SMALL = 16, 8, 48
+LEAF, FANOUT, SMALL, BLOCK = 16, 8, 48, 256
 SCHEMA = "doc_id long, h1 long, h2 long, size int, sig binary, mh binary"
 
 
@@ -109,6 +109,12 @@ def tree_pairs(size: np.ndarray, sig: np.ndarray, t: float) -> tuple[np.ndarray,
     return (order[a], order[b]) if len(levels) > 1 else (a[:0], b[:0])
 
 
+def _pair_key(key: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Where a pair is verified: at its key, or, beyond the first BLOCK documents of a key, at a key of its two blocks, so that large groups spread over tasks."""
+    block = (np.minimum(a, b).astype(np.uint64) << np.uint64(32)) | np.maximum(a, b).astype(np.uint64)
+    return np.where(block == 0, key, textkit.signed(textkit.mix(key.view(np.uint64) ^ textkit.mix(block))))
+
+
 def _candidates(t: float, keys: int):
     def candidates(batches):
         for g in shared.grouped(batches):
@@ -137,7 +143,7 @@ def _candidates(t: float, keys: int):
                     ok = _possible(size[x], size[x], pop[0], size[y], size[y], pop[1], np.bitwise_count(sig[x] & sig[y]).sum(axis=1).astype(np.int64), t)
                     x, y = x[ok], y[ok]
                     if len(x):
-                        yield pa.RecordBatch.from_arrays([pa.array(key[x]), pa.array(np.minimum(ids[x], ids[y])), pa.array(np.maximum(ids[x], ids[y]))], ["key", "doc_a", "doc_b"])
+                        yield pa.RecordBatch.from_arrays([pa.array(_pair_key(key[x], rank[x] // BLOCK, rank[y] // BLOCK)), pa.array(np.minimum(ids[x], ids[y])), pa.array(np.maximum(ids[x], ids[y]))], ["key", "doc_a", "doc_b"])
 
     return candidates
 

@@ -104,7 +104,9 @@ def test_jaccard_tree_loses_nothing():
     assert len(got) < len(sets) * (len(sets) - 1) // 4
 
 
-def test_jaccard_large_group_uses_the_tree(spark):
+@pytest.mark.parametrize("block", [256, 25])
+def test_jaccard_large_group_uses_the_tree(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
     rows = [(i, " ".join(f"w{j}" for j in range(100)) + f" v{i} u{i}") for i in range(120)]
     assert jaccard.jaccard_join(frame(spark, rows, False)).count() == 120 * 119 // 2
 
