@@ -332,3 +332,30 @@ def test_near_groups(spark):
     same = np.ones((50, 8), np.float32)
     assert {r.group_id for r in projections.near_groups(_table(spark, same)).collect()} == {0}
     assert projections.near_groups(_table(spark, [])).count() == 0
+
+
+def _star(variants, others, cosine=0.96, d=64):
+    """A base (0), variants at `cosine` to it and mostly below 0.95 to each other, and random vectors."""
+    rng = np.random.default_rng(7)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    base = unit(rng.normal(size=d))
+    off = rng.normal(size=(variants, d))
+    off = unit(off - (off @ base)[:, None] * base)
+    return np.concatenate((base[None], cosine * base + math.sqrt(1 - cosine**2) * off, unit(rng.normal(size=(others, d))))).astype(np.float32)
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_near_dedup_of_a_star_of_thousands(spark, monkeypatch, small):
+    if small:  # buckets are dealt to blocks
+        monkeypatch.setattr(projections, "BLOCK_BYTES", 1 << 15)
+        monkeypatch.setattr(projections, "TILE", 64)
+    x = _star(3000, 3000)
+    table = _table(spark, x).cache()
+    s = x @ x.T
+    want = {(i, j) for i, j in np.argwhere(s >= 0.95 + 1e-5).tolist() if i < j}
+    got = {(min(a, b), max(a, b)) for a, b in projections.near_pairs(table).toPandas().itertuples(index=False)}
+    assert len(got & want) >= 0.98 * len(want) > 3000
+    out = projections.near_groups(table).toPandas()
+    assert len(out) == len(x)
+    assert (out[out.vec_id <= 3000].group_id == 0).mean() >= 0.99 and (out[out.vec_id > 3000].group_id == out[out.vec_id > 3000].vec_id).all()
+    table.unpersist()
