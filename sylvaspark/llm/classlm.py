@@ -1,10 +1,10 @@
 """Operator 2, LM scoring by Brown class-based bigrams.
 
-1. Word counts over all documents. The `vocabulary` most frequent words are modelled one by one; every other word belongs to a rare class
-   by its length in bytes, where each of its types is equally likely.
-2. Counts of vocabulary words next to `core` words (the most frequent of them), over all documents.
-3. Exchange clustering: words of the core move between classes while that raises the likelihood of the class bigrams; then each other
-   vocabulary word joins the class that it fits best by the same gain.
+1. Word counts over all documents. All words seen `LEAST` times are modelled one by one (or the `vocabulary` most frequent, if that is given); every other word
+   belongs to a rare class by its length in bytes, where each of its types is equally likely.
+2. Exchange clustering of the `core` (the most frequent words) from their counts next to each other: words move between classes while that raises the likelihood of the class bigrams.
+3. Counts of each vocabulary word before and after each class, over all documents, as a table of one row a word; each word beyond the core joins the class that it fits best by the
+   same gain. Twice: first the neighbours with a class are those of the core, the rare classes and the border, then all of them are.
 4. Class bigram counts over all documents give transitions, interpolated with the class unigrams; word counts give emissions.
 5. Each document's log-likelihood and perplexity.
 
@@ -13,7 +13,8 @@ Defined results
 - Null and empty texts and texts without a word: n_words 0, log_prob 0, perplexity null. One row for each row of the input, repeated rows
   and null ids included (and repeated rows count as often as they come); other columns are ignored; an empty table gives no rows.
 - Words equally frequent rank by their hash, so the result doesn't depend on the partitions.
-The two sizes are parameters of the model (what each executor holds); counting covers every word of every text.
+Vocabulary, classes and core follow from the counts: classes grow with the power 0.3 of the vocabulary from 48, the core is ten words a class, from 512.
+The driver and each executor hold the vocabulary's hashes, classes and emissions (24 bytes a word); the neighbours' counts stay in the table.
 """
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from sylvaspark.llm import shared, textkit
 
-VOCABULARY, CORE, CLASSES, RARE, SWEEPS, LAMBDA = 8192, 512, 48, 8, 8, 0.9
+LEAST, CORE, CLASSES, RARE, SWEEPS, ROUNDS, LAMBDA = 5, 512, 48, 8, 8, 2, 0.9
 
 
 def _summed(parts: list) -> tuple[np.ndarray, np.ndarray]:
@@ -73,15 +74,18 @@ def _neighbours(words: textkit.Words) -> np.ndarray:
     return inner
 
 
-def _gain(N: np.ndarray, r: np.ndarray, l: np.ndarray, s: float) -> np.ndarray:
-    """Gain of log-likelihood from adding a word with right and left class counts r, l and s bigrams with itself to each class."""
+def _gain(N: np.ndarray, r: np.ndarray, l: np.ndarray, s) -> np.ndarray:
+    """Gain of log-likelihood from adding a word with right and left class counts r, l and s bigrams with itself to each class. Leading axes are words."""
     f = lambda x: x * np.log(np.maximum(x, 1e-300))
-    rows, cols, diag = N.sum(axis=1), N.sum(axis=0), np.diag(N)
-    fixed = f(rows).sum() - f(rows + l).sum() + f(cols).sum() - f(cols + r).sum()  # the neighbours' classes gain whatever the word's class
+    diagonal = lambda x: np.diagonal(x, axis1=-2, axis2=-1)
+    total = lambda x: x.sum(axis=-1, keepdims=True)
+    s = np.asarray(s)[..., None]
+    rows, cols, diag = N.sum(axis=-1), N.sum(axis=-2), diagonal(N)
+    fixed = total(f(rows)) - total(f(rows + l)) + total(f(cols)) - total(f(cols + r))  # the neighbours' classes gain whatever the word's class
     rows, cols = rows + l, cols + r
-    a, b = f(N + r) - f(N), f(N + l[:, None]) - f(N)
-    out = a.sum(axis=1) - np.diag(a) + b.sum(axis=0) - np.diag(b) + f(diag + r + l + s) - f(diag)
-    return out + fixed - f(rows + r.sum() + s) + f(rows) - f(cols + l.sum() + s) + f(cols)
+    a, b = f(N + r[..., None, :]) - f(N), f(N + l[..., :, None]) - f(N)
+    out = a.sum(axis=-1) - diagonal(a) + b.sum(axis=-2) - diagonal(b) + f(diag + r + l + s) - f(diag)
+    return out + fixed - f(rows + total(r) + s) + f(rows) - f(cols + total(l) + s) + f(cols)
 
 
 def exchange(n: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarray:
@@ -115,57 +119,127 @@ def exchange(n: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarray:
     return of
 
 
-def fit(docs: DataFrame, vocabulary: int = VOCABULARY, core: int = CORE, classes: int = CLASSES) -> dict:
-    """Counts the corpus and returns the model; its size depends on the parameters alone."""
+def _beside(docs: DataFrame, model: dict) -> DataFrame:
+    """(word, near): of each vocabulary word, counts (code, n) of its neighbours' classes, before it, after it and of itself. Neighbours without a class are left out."""
+    total = model["classes"] + RARE + 1
+
+    def codes(w):
+        i, c = _classes_of(model, w)
+        before, inner = _before(model, w, c), np.flatnonzero(_neighbours(w))
+        same = np.zeros(len(i), bool)
+        same[inner] = (i[inner] == i[inner - 1]) & (i[inner] >= 0)
+        at = np.flatnonzero((i >= 0) & (before >= 0) & ~same)
+        to = inner[(i[inner - 1] >= 0) & (c[inner] >= 0) & ~same[inner]]
+        return np.concatenate((i[at] * 3 * total + before[at], (i[to - 1] * 3 + 1) * total + c[to], (i[same] * 3 + 2) * total))
+
+    split = lambda k: ((k // (3 * total)).astype(np.int32), (k % (3 * total)).astype(np.int32))
+    rows = docs.mapInArrow(_counting(codes, ["word", "code", "n"], split), "word int, code int, n long")
+    return rows.groupBy("word").agg(F.collect_list(F.struct("code", "n")).alias("near"))
+
+
+def _near(batch, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words, and their counts as [word, side, class]."""
+    near = batch.column("near")
+    code, n = near.flatten().flatten()
+    row = np.repeat(np.arange(len(near)), np.diff(near.offsets.to_numpy()))
+    x = np.bincount(row * 3 * total + code.to_numpy(), n.to_numpy(), len(near) * 3 * total)
+    return batch.column("word").to_numpy(), x.reshape(len(near), 3, total)
+
+
+def _class_counts(of: np.ndarray, classes: int):
+    """Bigrams of classes of which at least one word is of the vocabulary."""
+    total = classes + RARE + 1
+
+    def counts(batches):
+        N = np.zeros((total, total))
+        for b in batches:
+            word, x = _near(b, total)
+            has = of[word] >= 0
+            k, x = of[word[has]], x[has]
+            np.add.at(N.T, k, x[:, 0])
+            x[:, 1, :classes] = 0  # counted before the other word
+            np.add.at(N, k, x[:, 1])
+            np.add.at(N, (k, k), x[:, 2, 0])
+        at = np.flatnonzero(N)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(N.ravel()[at])], ["code", "n"])
+
+    return counts
+
+
+def _assigned(of: np.ndarray, fixed: np.ndarray, N: np.ndarray, classes: int, step: int = 128):
+    """(word, class): the class that each word that isn't fixed fits best, once taken out of its own."""
+
+    def assigned(batches):
+        for b in batches:
+            words, near = _near(b, len(N))
+            keep = ~fixed[words]
+            words, near = words[keep], near[keep]
+            best = np.zeros(len(words), np.int32)
+            for at in range(0, len(words), step):
+                l, r, s = near[at : at + step, 0], near[at : at + step, 1], near[at : at + step, 2, 0]
+                own = of[words[at : at + step]]
+                i = np.flatnonzero(own >= 0)
+                k = own[i]
+                M = np.repeat(N[None], len(own), axis=0)
+                M[i, k] -= r[i]
+                M[i, :, k] -= l[i]
+                M[i, k, k] -= s[i]
+                best[at : at + step] = _gain(M, r, l, s)[:, :classes].argmax(axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(words.astype(np.int32)), pa.array(best)], ["word", "class"])
+
+    return assigned
+
+
+def fit(docs: DataFrame, vocabulary: int | None = None, core: int | None = None, classes: int | None = None) -> dict:
+    """Counts the corpus and returns the model; its size follows from the counts where none is given."""
     docs = shared.documents(docs, "text")
+    spark = SparkSession.active()
     of_length = lambda w: w.hash & ~np.uint64(RARE - 1) | _length_class(w).astype(np.uint64)
     counts = docs.mapInArrow(_counting(of_length, ["word", "n"], lambda k: (textkit.signed(k),)), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = shared.persist_shared(counts, SparkSession.active())
-    frequent = counts.orderBy(F.desc("n"), "word").limit(vocabulary)
-    top = frequent.toPandas()
+    counts = shared.persist_shared(counts, spark)
+    frequent = counts.where(F.col("n") >= LEAST) if vocabulary is None else counts.orderBy(F.desc("n"), "word").limit(vocabulary)
+    top = frequent.toPandas().sort_values(["n", "word"], ascending=[False, True])
     rare = np.zeros(RARE, np.int64)
     for k, types in counts.groupBy(F.col("word").bitwiseAND(RARE - 1).alias("k")).count().collect():
         rare[k] = types
-    shared.forget(counts, SparkSession.active())
+    shared.forget(counts, spark)
     word, n = top["word"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
     rare -= np.bincount((word & np.uint64(RARE - 1)).astype(np.int64), minlength=RARE)
     by_hash = np.argsort(word, kind="stable")
     vocab, n = word[by_hash], n[by_hash]
     rank = by_hash.astype(np.int64)  # place in the order of frequency
-    V, core = len(vocab), min(core, len(vocab))
-    coded = lambda w: _lookup_key(w, vocab)
+    V = len(vocab)
+    classes = max(CLASSES, round(V**0.3)) if classes is None else classes
+    core = min(max(CORE, 10 * classes) if core is None else core, V)
+    classes = max(1, min(classes, core))
 
     def pairs(w):
-        i = coded(w)
-        ok = _neighbours(w)
-        at = np.flatnonzero(ok)
+        i = _lookup_key(w, vocab)
+        at = np.flatnonzero(_neighbours(w))
         a, b = i[at - 1], i[at]
         ok = (a >= 0) & (b >= 0)
         a, b = rank[a[ok]], rank[b[ok]]
-        # side 0: core a before b; side 1: b core after a
-        left, right = a < core, b < core
-        return np.concatenate(((b[left] * core + a[left]) * 2, (a[right] * core + b[right]) * 2 + 1))
-
-    split = lambda k: ((k // 2 // max(core, 1)).astype(np.int32), (k // 2 % max(core, 1)).astype(np.int32), (k % 2).astype(np.int32))
-    beside = docs.mapInArrow(_counting(pairs, ["word", "core", "side", "n"], split), "word int, core int, side int, n long").groupBy("word", "core", "side").agg(F.sum("n").alias("n"))
-    beside = shared.persist_shared(beside, SparkSession.active())
-    m = np.zeros((core, core))
-    x = beside.where((F.col("word") < core) & (F.col("side") == 0)).toPandas()
-    m[x["core"].to_numpy(), x["word"].to_numpy()] = x["n"].to_numpy()
-    classes = max(1, min(classes, core))
-    of = np.zeros(V, np.int64)
+        ok = (a < core) & (b < core)
+        return a[ok] * core + b[ok]
+
+    of = np.full(V, -1)
+    model = {"vocab": vocab, "class": of, "classes": classes}
     if core:
-        of[:core] = exchange(m, classes)
-        M = np.eye(classes)[of[:core]]
-        N = M.T @ m @ M
-        table = F.array(*[F.lit(int(c)) for c in of[:core]])
-        y = beside.where(F.col("word") >= core).groupBy("word", "side", table[F.col("core")].alias("class")).agg(F.sum("n").alias("n")).toPandas()
-        near = np.zeros((2, V, classes))
-        near[y["side"].to_numpy(), y["word"].to_numpy(), y["class"].to_numpy()] = y["n"].to_numpy()
-        for w in range(core, V):
-            of[w] = int(_gain(N, near[1, w], near[0, w], 0.0).argmax())
-    shared.forget(beside, SparkSession.active())
-    model = {"vocab": vocab, "class": of[rank].astype(np.int64), "classes": classes}
+        m = np.zeros(core * core)
+        x = docs.mapInArrow(_counting(pairs, ["code", "n"], lambda k: (k,)), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
+        m[x["code"].to_numpy()] = x["n"].to_numpy()
+        fixed = rank < core
+        of[fixed] = exchange(m.reshape(core, core), classes)[rank[fixed]]
+        for _ in range(ROUNDS if V > core else 0):
+            beside = shared.persist_shared(_beside(docs, model), spark)
+            x = beside.mapInArrow(_class_counts(of, classes), "code long, n double").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
+            N = np.zeros((classes + RARE + 1) ** 2)
+            N[x["code"].to_numpy()] = x["n"].to_numpy()
+            x = beside.mapInArrow(_assigned(of, fixed, N.reshape(classes + RARE + 1, -1), classes), "word int, class int").toPandas()
+            shared.forget(beside, spark)
+            of = np.where(fixed, of, 0)  # a word without such a neighbour
+            of[x["word"].to_numpy()] = x["class"].to_numpy()
+            model["class"] = of
     total = classes + RARE + 1  # the last one is the border
     bigrams = docs.mapInArrow(_counting(lambda w: _bigrams(model, w), ["code", "n"], lambda k: (k,)), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
     B = np.zeros(total * total)

@@ -90,6 +90,40 @@ def test_language_model_of_nothing(spark):
     assert [r.perplexity for r in classlm.perplexities(frame(spark, [(1, None), (2, "")])).collect()] == [None, None]
 
 
+def test_vocabulary_follows_from_the_counts(spark):
+    """All words seen LEAST times are in the model, each with its own emission."""
+    rng = np.random.default_rng(4)
+    kinds = [[f"{c}{i:05d}" for i in range(6000)] for c in "ab"]
+    texts = []
+    for i in range(0, 6000, 10):  # words meet only within their ten, so most never meet a frequent word
+        times = 60 if i < 300 else 12
+        texts += [" ".join(kinds[k % 2][i + j] for k, j in enumerate(rng.integers(0, 10, 20))) for _ in range(times)]
+    docs = frame(spark, list(enumerate(texts)))
+    model = classlm.fit(docs)
+    count = collections.Counter(w for t in texts for w in t.split())
+    seen = [w for w in count if count[w] >= classlm.LEAST]
+    key = textkit.Words(pa.array(seen))
+    at = classlm._lookup_key(key, model["vocab"])
+    assert len(model["vocab"]) == len(seen) > 8192 and (at >= 0).all()
+    emit = collections.Counter()
+    for w, i in zip(seen, at):
+        emit[model["class"][i]] += math.exp(model["emit"][i])
+    assert all(v == pytest.approx(1) for v in emit.values())
+
+
+def test_words_join_by_all_their_neighbours(spark):
+    """Words that never meet a word of the core get their class by the classes of the other words."""
+    rng = np.random.default_rng(4)
+    a, b, x, y = ([f"{c}{i:02d}" for i in range(n)] for c, n in (("a", 5), ("b", 5), ("x", 20), ("y", 20)))
+    pick = lambda v: v[rng.integers(0, len(v))]
+    texts = [" ".join(pick(v) for _ in range(6) for v in (a, b)) for _ in range(300)]
+    texts += [" ".join(pick(v) for v in (a, x, a, x, a)) for _ in range(150)] + [" ".join(pick(v) for v in (y, x, y, x, y)) for _ in range(200)]
+    model = classlm.fit(frame(spark, list(enumerate(texts))), core=10, classes=2)
+    of = lambda v: model["class"][classlm._lookup_key(textkit.Words(pa.array(v)), model["vocab"])]
+    assert len({*of(a)}) == len({*of(b)}) == 1 and of(a)[0] != of(b)[0]
+    assert (of(x) == of(b)[0]).all() and (of(y) == of(a)[0]).all()  # x follow a as b do; y come before x, as a do
+
+
 # ---- toxicity
 def test_gradients():
     rng = np.random.default_rng(0)
