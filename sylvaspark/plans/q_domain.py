@@ -149,8 +149,18 @@ def _(r):
 
 @query("scf_26_similarity", f"WITH a AS (SELECT taxon_id, {NORM} AS a FROM names WHERE taxon_id < 40), b AS (SELECT col_id, {NORM} AS b FROM cat WHERE col_id < 'C11') SELECT taxon_id, col_id, CAST(floor(1000 * (100.0::DOUBLE - 100.0::DOUBLE * levenshtein(a, b) / greatest(length(a), length(b)))) AS BIGINT) AS milli FROM a, b")
 def _(r):
-    a = r.names.where("taxon_id < 40").select("taxon_id", scalar.normalise_name("name").alias("a"))
-    b = r.cat.where("col_id < 'C11'").select("col_id", scalar.normalise_name("name").alias("b"))
+    return _similarities(r.names.where("taxon_id < 40"), r.cat.where("col_id < 'C11'"))
+
+
+@query("scf_26_similarity_whole", f"WITH a AS (SELECT taxon_id, {NORM} AS a FROM names), b AS (SELECT col_id, {NORM} AS b FROM cat) SELECT taxon_id, col_id, CAST(floor(1000 * (100.0::DOUBLE - 100.0::DOUBLE * levenshtein(a, b) / greatest(length(a), length(b)))) AS BIGINT) AS milli FROM a, b")
+def _(r):
+    """All names against the whole catalogue: the output is their product."""
+    return _similarities(r.names, r.cat)
+
+
+def _similarities(names, cat):
+    a = names.select("taxon_id", scalar.normalise_name("name").alias("a"))
+    b = cat.select("col_id", scalar.normalise_name("name").alias("b"))
     return a.crossJoin(b).select("taxon_id", "col_id", F.floor(1000 * scalar.similarity("a", "b")).alias("milli"))
 
 
@@ -760,9 +770,19 @@ def _(r):
 
 @query("jon_23_range_join", "SELECT t.ts_key, a.annotation_id FROM (SELECT event_id AS ts_key, ts FROM events WHERE event_id % 100 = 0) t JOIN ann a ON a.created_at >= t.ts AND a.created_at < t.ts + INTERVAL 10 MINUTE")
 def _(r):
+    return _within_ten_minutes(r, r.table("events").where("event_id % 100 = 0"))
+
+
+@query("jon_23_range_join_whole", "SELECT t.ts_key, a.annotation_id FROM (SELECT event_id AS ts_key, ts FROM events) t JOIN ann a ON a.created_at >= t.ts AND a.created_at < t.ts + INTERVAL 10 MINUTE")
+def _(r):
+    """The intervals of all events."""
+    return _within_ten_minutes(r, r.table("events"))
+
+
+def _within_ten_minutes(r, events):
     """A range join as an equality on 10-minute cells: each interval is in the two cells that it may touch."""
     cell = lambda c: F.floor(F.unix_micros(F.col(c).cast("timestamp")) / 600_000_000)
-    t = r.table("events").where("event_id % 100 = 0").select(F.col("event_id").alias("ts_key"), "ts").withColumn("_cell", F.explode(F.array(cell("ts"), cell("ts") + 1)))
+    t = events.select(F.col("event_id").alias("ts_key"), "ts").withColumn("_cell", F.explode(F.array(cell("ts"), cell("ts") + 1)))
     return r.ann.withColumn("_cell", cell("created_at")).join(t, "_cell").where("created_at >= ts and created_at < ts + interval 10 minutes").select("ts_key", "annotation_id")
 
 

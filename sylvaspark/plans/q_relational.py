@@ -480,7 +480,17 @@ def _(r):
 
 @query("jon_19_lower_name", "SELECT p_partkey, col_id FROM part JOIN cat ON lower(p_name) = lower(name) WHERE p_partkey < 50")
 def _(r):
-    return r.table("part").where("p_partkey < 50").join(r.cat, F.lower("p_name") == F.lower("name")).select("p_partkey", "col_id")
+    return _by_lower_name(r.table("part").where("p_partkey < 50"), r.cat)
+
+
+@query("jon_19_lower_name_whole", "SELECT p_partkey, col_id FROM part JOIN cat ON lower(p_name) = lower(name)")
+def _(r):
+    """All parts."""
+    return _by_lower_name(r.table("part"), r.cat)
+
+
+def _by_lower_name(part, cat):
+    return part.join(cat, F.lower("p_name") == F.lower("name")).select("p_partkey", "col_id")
 
 
 @query("jon_20_root_overlap", "SELECT CAST(a AS INTEGER) AS root_a, CAST(b AS INTEGER) AS root_b, CAST(t AS INTEGER) AS taxon_id FROM (VALUES (2001, 30010, 2001), (2001, 30010, 1001)) AS v(a, b, t)")
