@@ -2,8 +2,9 @@
 
 1. Every window of 50 words is routed by its anchor (see windows); anchors of one document alone are dropped.
 2. The word runs around the anchors that repeat are cut from the texts and sent to the anchor's shard.
-3. Each shard collapses identical runs and sorts the suffixes of the rest by external induced sorting (see induced), whose bucket
-   queues carry suffixes with their common-prefix lengths and spill to the shared folder.
+3. Each shard collapses identical runs and sorts the suffixes of the rest by induced sorting (see induced), whose bucket queues carry suffixes with
+   their common-prefix lengths and spill to the shared folder. Only the queues are external: text, names, and the suffix and prefix arrays are held in
+   memory, so shards are cut to `SHARD_WORDS` words between anchors. All runs of one anchor are held at once, however many they are.
 4. Suffixes with 50 common words or more are one passage. Its occurrences in the lowest doc_id that has it stay; the windows of all
    others are reported, joined to spans where they touch.
 
