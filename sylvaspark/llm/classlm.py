@@ -166,13 +166,13 @@ def _class_counts(of: np.ndarray, classes: int):
     return counts
 
 
-def _assigned(of: np.ndarray, fixed: np.ndarray, N: np.ndarray, classes: int, step: int = 128):
-    """(word, class): the class that each word that isn't fixed fits best, once taken out of its own."""
+def _assigned(of: np.ndarray, fixed: np.ndarray, N: np.ndarray, classes: int, last: bool, step: int = 128):
+    """(word, class): the class that each word that isn't fixed fits best, once taken out of its own. Before the last round, words without a neighbour in a class wait."""
 
     def assigned(batches):
         for b in batches:
             words, near = _near(b, len(N))
-            keep = ~fixed[words]
+            keep = ~fixed[words] & (last | near[:, :2, :classes].any(axis=(1, 2)))
             words, near = words[keep], near[keep]
             best = np.zeros(len(words), np.int32)
             for at in range(0, len(words), step):
@@ -230,14 +230,14 @@ def fit(docs: DataFrame, vocabulary: int | None = None, core: int | None = None,
         m[x["code"].to_numpy()] = x["n"].to_numpy()
         fixed = rank < core
         of[fixed] = exchange(m.reshape(core, core), classes)[rank[fixed]]
-        for _ in range(ROUNDS if V > core else 0):
+        for k in range(ROUNDS if V > core else 0):
             beside = shared.persist_shared(_beside(docs, model), spark)
             x = beside.mapInArrow(_class_counts(of, classes), "code long, n double").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
             N = np.zeros((classes + RARE + 1) ** 2)
             N[x["code"].to_numpy()] = x["n"].to_numpy()
-            x = beside.mapInArrow(_assigned(of, fixed, N.reshape(classes + RARE + 1, -1), classes), "word int, class int").toPandas()
+            x = beside.mapInArrow(_assigned(of, fixed, N.reshape(classes + RARE + 1, -1), classes, k == ROUNDS - 1), "word int, class int").toPandas()
             shared.forget(beside, spark)
-            of = np.where(fixed, of, 0)  # a word without such a neighbour
+            of = of.copy() if k < ROUNDS - 1 else np.maximum(of, 0)  # 0: a word without any neighbour
             of[x["word"].to_numpy()] = x["class"].to_numpy()
             model["class"] = of
     total = classes + RARE + 1  # the last one is the border

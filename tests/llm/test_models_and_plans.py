@@ -114,14 +114,16 @@ def test_vocabulary_follows_from_the_counts(spark):
 def test_words_join_by_all_their_neighbours(spark):
     """Words that never meet a word of the core get their class by the classes of the other words."""
     rng = np.random.default_rng(4)
-    a, b, x, y = ([f"{c}{i:02d}" for i in range(n)] for c, n in (("a", 5), ("b", 5), ("x", 20), ("y", 20)))
+    a, b, x, y, u, z = ([f"{c}{i:02d}" for i in range(n)] for c, n in (("a", 5), ("b", 5), ("x", 20), ("y", 20), ("u", 20), ("z", 20)))
     pick = lambda v: v[rng.integers(0, len(v))]
     texts = [" ".join(pick(v) for _ in range(6) for v in (a, b)) for _ in range(300)]
     texts += [" ".join(pick(v) for v in (a, x, a, x, a)) for _ in range(150)] + [" ".join(pick(v) for v in (y, x, y, x, y)) for _ in range(200)]
+    texts += [" ".join(pick(v) for v in (b, u, b, u, b)) for _ in range(150)] + [" ".join(pick(v) for v in (z, u, z, u, z)) for _ in range(200)]
     model = classlm.fit(frame(spark, list(enumerate(texts))), core=10, classes=2)
     of = lambda v: model["class"][classlm._lookup_key(textkit.Words(pa.array(v)), model["vocab"])]
     assert len({*of(a)}) == len({*of(b)}) == 1 and of(a)[0] != of(b)[0]
-    assert (of(x) == of(b)[0]).all() and (of(y) == of(a)[0]).all()  # x follow a as b do; y come before x, as a do
+    assert (of(x) == of(b)[0]).all() and (of(u) == of(a)[0]).all()  # x stand beside a, as b do, and u beside b
+    assert (of(y) == of(a)[0]).all() and (of(z) == of(b)[0]).all()  # beside x and u only
 
 
 # ---- toxicity
