@@ -12,6 +12,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 
+#: Type of common-prefix lengths, and the longest one told apart.
+LCP, LONGEST = np.uint16, 65_000
+
 
 class Queue:
     """First-in first-out lists of (position, common prefix) by bucket; beyond `budget` bytes the fullest lists go to files."""
@@ -44,7 +47,7 @@ class Queue:
     @staticmethod
     def _join(chunks) -> tuple[np.ndarray, np.ndarray]:
         if not chunks:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint8)
+            return np.zeros(0, np.int64), np.zeros(0, LCP)
         return np.concatenate([c[0] for c in chunks]), np.concatenate([c[1] for c in chunks])
 
     def take(self, bucket: int) -> tuple[np.ndarray, np.ndarray]:
@@ -52,8 +55,8 @@ class Queue:
         for path in self.files.pop(bucket, []):
             with self.fs.open_input_stream(path) as f:
                 raw = np.frombuffer(f.read(), np.uint8)
-            m = len(raw) // 9
-            old.append((raw[: 8 * m].view(np.int64), raw[8 * m :]))
+            m = len(raw) // (8 + np.dtype(LCP).itemsize)
+            old.append((raw[: 8 * m].view(np.int64), raw[8 * m :].view(LCP)))
         out = self._join(old + self.lists[bucket])
         self.lists[bucket], self.held[bucket] = [], 0
         return out
@@ -81,12 +84,12 @@ def _range_min(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray
 class _Phase:
     def __init__(self, t: np.ndarray, cap: int, queue: Queue):
         self.t, self.cap, self.queue = t, cap, queue
-        self.carry = np.full(256, cap, np.uint8)
+        self.carry = np.full(256, cap, LCP)
         self.used = np.zeros(256, bool)
 
     def scan(self, pos: np.ndarray, lcp: np.ndarray, bucket: int, wanted) -> tuple[np.ndarray, np.ndarray]:
         """Induces the predecessors for which wanted(symbol); returns those that stay in this bucket."""
-        none = np.zeros(0, np.int64), np.zeros(0, np.uint8)
+        none = np.zeros(0, np.int64), np.zeros(0, LCP)
         if not len(pos):
             return none
         symbols = self.t[np.maximum(pos - 1, 0)]
@@ -104,13 +107,13 @@ class _Phase:
         low = _range_min(lcp, lo, at)
         heads = np.flatnonzero(first)
         low[heads] = np.minimum(low[heads], self.carry[a[heads]])
-        new = np.minimum(low.astype(np.int64) + 1, self.cap).astype(np.uint8)
+        new = np.minimum(low.astype(np.int64) + 1, self.cap).astype(LCP)
         new[heads[~self.used[a[heads]]]] = 0
         self.used[a[heads]] = True
         tails = np.append(heads[1:], len(a)) - 1
         last = at[tails]
         np.minimum(self.carry, least, out=self.carry)
-        after = np.full(len(last), self.cap, np.uint8)
+        after = np.full(len(last), self.cap, LCP)
         open_end = np.flatnonzero(last + 1 < len(lcp))
         if len(open_end):
             after[open_end] = _range_min(lcp, last[open_end] + 1, np.full(len(open_end), len(lcp) - 1))
@@ -214,16 +217,18 @@ def _common(blocks: np.ndarray, p: np.ndarray, q: np.ndarray, cap: int) -> np.nd
 
 
 def suffixes(t: np.ndarray, cap: int, folder: str | None = None, budget: int = 64 << 20) -> tuple[np.ndarray, np.ndarray]:
-    """(order, common) for bytes t of 1..254 with a 0 at the end: suffixes in order, as far as `cap` symbols (at most 250) decide, and the
+    """(order, common) for bytes t of 1..254 with a 0 at the end: suffixes in order, as far as `cap` symbols (at most LONGEST) decide, and the
     common prefix, capped, of each with the one before it."""
+    if not 0 < cap <= LONGEST:
+        raise ValueError(f"common prefixes are told apart up to {LONGEST} symbols")
     lms, blocks = _leftmost(t), _blocks(t)
     order = lms[_order(_names(t, blocks, lms), cap)]
-    lcp = np.zeros(len(order), np.uint8)
+    lcp = np.zeros(len(order), LCP)
     lcp[1:] = _common(blocks, order[:-1], order[1:], cap)
     del blocks
     heads = np.searchsorted(t[order], np.arange(257))
     small, large = Queue(folder, budget), Queue(folder, budget)
-    none = np.zeros(0, np.int64), np.zeros(0, np.uint8)
+    none = np.zeros(0, np.int64), np.zeros(0, LCP)
     up = _Phase(t, cap, small)
     left: list = [none] * 256
     for c in range(256):
@@ -243,7 +248,7 @@ def suffixes(t: np.ndarray, cap: int, folder: str | None = None, budget: int = 6
     for c in range(255, -1, -1):
         rounds, batch = [], large.take(c)
         if c == 0:
-            batch = np.array([len(t) - 1]), np.zeros(1, np.uint8)
+            batch = np.array([len(t) - 1]), np.zeros(1, LCP)
         while len(batch[0]):
             rounds.append(batch)
             batch = down.scan(*batch, c, lambda a: a <= c)
@@ -252,9 +257,9 @@ def suffixes(t: np.ndarray, cap: int, folder: str | None = None, budget: int = 6
         left[c] = none
         seam = min(_run(t, int(lpos[-1]), cap), _run(t, int(pos[-1]), cap)) if len(lpos) and len(pos) else 0
         if len(lpos):
-            down.scan(lpos[::-1], np.concatenate(([seam], llcp[:0:-1])).astype(np.uint8), c, lambda a: a < c)
+            down.scan(lpos[::-1], np.concatenate(([seam], llcp[:0:-1])).astype(LCP), c, lambda a: a < c)
         out.append(np.concatenate((lpos, pos[::-1])))
-        common.append(np.concatenate((llcp, np.concatenate((near[1:], [seam]))[::-1] if len(pos) else near)).astype(np.uint8))
+        common.append(np.concatenate((llcp, np.concatenate((near[1:], [seam]))[::-1] if len(pos) else near)).astype(LCP))
         large.relieve()
     small.close()
     large.close()

@@ -75,7 +75,7 @@ def repeats(doc: np.ndarray, start: np.ndarray, runs: list[np.ndarray], length:
     """(doc, window, first doc) of windows of runs that a lower document has as well."""
     where: dict[bytes, int] = {}
     which = np.array([where.setdefault(r.tobytes(), len(where)) for r in runs])
-    distinct = [np.frombuffer(x, np.uint32) for x in where]
+    distinct = [np.frombuffer(x, runs[0].dtype) for x in where]
     low = np.full(len(distinct), np.iinfo(np.int64).max)
     np.minimum.at(low, which, doc)
     vocabulary, local = np.unique(np.concatenate(distinct), return_inverse=True)
@@ -83,7 +83,7 @@ def repeats(doc: np.ndarray, start: np.ndarray, runs: list[np.ndarray], length:
     while 253**width < len(vocabulary):
         width += 1
     t = _symbols(distinct, width, local)
-    order, common = induced.suffixes(t, min(width * length, 250), folder, budget)
+    order, common = induced.suffixes(t, width * length, folder, budget)
     size = np.array([len(r) for r in distinct])
     head = np.concatenate(([0], np.cumsum(size + 1)))[:-1]
     valid = np.full(len(t) // width + 1, -1, np.int64)
@@ -91,7 +91,7 @@ def repeats(doc: np.ndarray, start: np.ndarray, runs: list[np.ndarray], length:
     valid[windows.ranges(head, many)] = np.repeat(np.arange(len(distinct)), many)
     run = np.where(order % width == 0, valid[order // width], -1)
     rows = np.flatnonzero(run >= 0)
-    near = np.minimum.reduceat(common, np.concatenate(([0], rows[:-1] + 1))) if len(rows) else common
+    near = np.minimum.reduceat(common[: rows[-1] + 1], np.concatenate(([0], rows[:-1] + 1)))
     new = np.flatnonzero(near < width * length)
     new = new if len(new) and new[0] == 0 else np.concatenate(([0], new))
     run, word = run[rows], order[rows] // width

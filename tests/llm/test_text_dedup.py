@@ -118,6 +118,30 @@ def test_suffix_array_dedup_against_brute_force(spark):
     assert all(r.first_doc_id < r.doc_id for r in out)
 
 
+@pytest.mark.parametrize("length", [3, 20, 50, 100, 200, 400])
+def test_repeats_window_by_window(length):
+    for seed in range(40):
+        rng = np.random.default_rng(seed)
+        vocabulary = int(rng.choice([2, 5, 300, 100_000]))
+        word = lambda n: rng.integers(0, vocabulary, n).astype(np.uint64)
+        passage = word(length + int(rng.integers(0, 3)))
+        runs = [np.concatenate((word(int(rng.integers(0, 60))), passage if rng.random() < 0.8 else word(length), word(int(rng.integers(0, 60))))) for _ in range(int(rng.integers(2, 6)))]
+        docs, starts = [3 * d * int(rng.random() < 0.9) for d in range(len(runs))], rng.integers(0, 9, len(runs)).tolist()
+        low = {}
+        for d, r in zip(docs, runs):
+            for j in range(len(r) - length + 1):
+                k = r[j : j + length].tobytes()
+                low[k] = min(low.get(k, d), d)
+        want = sorted((d, s + j, low[r[j : j + length].tobytes()]) for d, s, r in zip(docs, starts, runs) for j in range(len(r) - length + 1) if low[r[j : j + length].tobytes()] < d)
+        got = suffixdedup.repeats(np.array(docs), np.array(starts), runs, length, None, 1 << 20)
+        assert sorted(zip(*[x.tolist() for x in got])) == want
+
+
+def test_suffix_order_refuses_what_it_cannot_tell_apart():
+    with pytest.raises(ValueError):
+        induced.suffixes(np.zeros(1, np.uint8), induced.LONGEST + 1)
+
+
 def test_suffix_array_dedup_in_small_shards(spark):
     rows = corpus(6, 60)
     assert span_cover(suffixdedup.repeated_spans(frame(spark, rows), budget=2000, shard_words=300).collect()) == covered(rows)
