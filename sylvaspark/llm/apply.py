@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sylvaspark.llm import components, jaccard, suffixdedup, textkit, toxicity, windows
+from sylvaspark.llm import components, jaccard, shared, suffixdedup, textkit, toxicity, windows
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
@@ -18,6 +18,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
     fitted = toxicity.fit(docs, labels, **bounds)
     score = toxicity._score(fitted)
 
+    @shared.released
     def clean(batches):
         for b in batches:
             at = 0
@@ -60,6 +61,7 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
     names = docs.columns
     joined = docs.join(spans, docs["doc_id"] == spans["_spans_id"], "left").drop("_spans_id")
 
+    @shared.released
     def cut(batches):
         for b in batches:
             spans, text = b.column("_spans"), b.column("text")

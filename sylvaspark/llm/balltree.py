@@ -88,6 +88,7 @@ def search(tree: Tree, x: np.ndarray, ids: np.ndarray, q: np.ndarray, qids: np.n
 
 
 def _assign(width: int, pivots: np.ndarray, blocks: int):
+    @shared.released
     def assign(batches):
         for b in batches:
             x = projections.matrix(b.column("embedding"), width)
@@ -123,6 +124,7 @@ def _ball(width: int):
 
 
 def _routes(width: int, shards: np.ndarray, centers: np.ndarray, radii: np.ndarray):
+    @shared.released
     def routes(batches):
         for b in batches:
             if not b.num_rows:

@@ -44,6 +44,7 @@ def _emit(parts: list, names: list[str], split):
 def _counting(codes, names: list[str], split, most: int = 1 << 20):
     """Counts of the codes that codes(words) yields, summed inside a partition while they fit."""
 
+    @shared.released
     def counting(batches):
         parts, held = [], 0
         for b in batches:
@@ -150,6 +151,7 @@ def _class_counts(of: np.ndarray, classes: int):
     """Bigrams of classes of which at least one word is of the vocabulary."""
     total = classes + RARE + 1
 
+    @shared.released
     def counts(batches):
         N = np.zeros((total, total))
         for b in batches:
@@ -169,6 +171,7 @@ def _class_counts(of: np.ndarray, classes: int):
 def _assigned(of: np.ndarray, fixed: np.ndarray, N: np.ndarray, classes: int, last: bool, step: int = 128):
     """(word, class): the class that each word that isn't fixed fits best, once taken out of its own. Before the last round, words without a neighbour in a class wait."""
 
+    @shared.released
     def assigned(batches):
         for b in batches:
             words, near = _near(b, len(N))
@@ -290,6 +293,7 @@ def log_probs(model: dict, words: textkit.Words) -> np.ndarray:
 
 
 def _score(model: dict):
+    @shared.released
     def score(batches):
         for b in batches:
             texts, ids = b.column("text"), b.column("doc_id")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sylvaspark.llm import shared
 
 
+@shared.released
 def _unions(batches):
     """(node, lowest node of its component within the partition) as edges (a, b), a > b."""
     parent: dict[int, int] = {}

@@ -31,6 +31,7 @@ COLUMNS = ["key", "doc_id", "digests"]
 
 
 def _rows(length: int, buckets: int):
+    @shared.released
     def rows(batches):
         for b in batches:
             texts, ids = b.column("text"), b.column("doc_id").to_numpy()
@@ -119,6 +120,7 @@ def _merge(folder: str, runs: list[str], run: str, length: int):
         if len(row):
             return pa.RecordBatch.from_arrays([pa.array(c) for c in suffixdedup.spans(doc[row], start[row - m].astype(np.int64) + at - wptr[row], first, length)], ["doc_id", "start_word", "n_words", "first_doc_id"])
 
+    @shared.released
     def merge(batches):
         for g in shared.grouped(batches, "bucket"):
             b = shared.column(g, "bucket").to_numpy()
@@ -131,6 +133,7 @@ def _merge(folder: str, runs: list[str], run: str, length: int):
 
 
 def _compact(folder: str, runs: list[str], run: str):
+    @shared.released
     def compact(batches):
         for b in batches:
             for bucket in b.column("id").to_pylist():

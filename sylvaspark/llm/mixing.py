@@ -39,12 +39,14 @@ def _count_tokens(texts: pa.Array) -> pa.Array:
         first = offsets[:-1][offsets[:-1] < offsets[1:]]
         start[first] = solid[first]
         out.append(np.diff(np.searchsorted(np.flatnonzero(start), offsets)))
-    return pa.array(np.concatenate(out), pa.int64())
+    n = pa.array(np.concatenate(out), pa.int64())
+    shared.release()
+    return n
 
 
 def tokens() -> "F.Column":
-    """Number of runs of non-blank characters of `text`, counted batch by batch: an expression that Catalyst evaluates once a row."""
-    return F.arrow_udf(_count_tokens, "long")(F.col("text"))
+    """Number of runs of non-blank characters of `text`, counted batch by batch. It is declared nondeterministic, as else a filter on it counts once more."""
+    return F.arrow_udf(_count_tokens, "long").asNondeterministic()(F.col("text"))
 
 
 def weights_by_root(share: dict) -> dict:

@@ -87,6 +87,7 @@ def pack(size: np.ndarray, capacity: int) -> np.ndarray:
 
 
 def _packing(capacity: int):
+    @shared.released
     def packing(batches):
         for t in shared.grouped(batches, "group"):
             g, doc, copy, n = shared.column(t, "group").to_numpy(), shared.column(t, "doc_id"), shared.column(t, "copy_no").to_numpy(), shared.column(t, "n_tokens").to_numpy()

@@ -74,6 +74,7 @@ def _leading(x: np.ndarray, planes: np.ndarray) -> np.ndarray:
 def _bucket_sizes(width: int, passes: int, bits: int):
     planes = _planes(width, passes)
 
+    @shared.released
     def sizes(batches):
         for b in batches:
             x, _ = _units(b, width)
@@ -88,6 +89,7 @@ def _signatures(width: int, passes: int, bits: int, hot: dict[int, tuple[np.ndar
     """hot: by pass, the buckets that are dealt to blocks (sorted) and their numbers of blocks. A row of block b goes to the pairs of blocks that b is in."""
     planes = _planes(width, passes)
 
+    @shared.released
     def signatures(batches):
         for b in batches:
             x, ids = _units(b, width)
@@ -189,6 +191,7 @@ def _neighbours(width: int, threshold: float, window: int, forest: bool):
         if held:
             yield from whole(held)
 
+    @shared.released
     def neighbours(batches):
         for a, c in found(batches):
             if len(a):

@@ -1,6 +1,9 @@
 """Tables written to the folder that all executors share, streams of sorted groups, and small helpers."""
 
 import atexit
+import ctypes
+import functools
+import re
 import shutil
 import tempfile
 import uuid
@@ -11,11 +14,46 @@ from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
 
+#: Bytes of an Arrow batch between the JVM and a Python worker, unless the session asks for fewer.
+BATCH_BYTES = 8 << 20
+
+
+def release() -> None:
+    """Gives the memory that this Python worker has freed back to the system: workers live on between stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def released(f):
+    """A function over batches that gives its memory back when its partition ends."""
+
+    @functools.wraps(f)
+    def run(batches):
+        try:
+            yield from f(batches)
+        finally:
+            release()
+
+    return run
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches of the session by BATCH_BYTES: rows of long texts would make batches of 64 MB in the JVM and in Python."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = re.fullmatch(r"(\d+)([kmgt]?)b?", spark.conf.get(key).lower())
+    if not now or int(now[1]) << 10 * " kmgt".index(now[2] or " ") > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new path below spark.checkpoint.dir. Where that is unset (tests), a temporary folder that goes with the process."""
+    """A new path below spark.checkpoint.dir. Where that is unset, a temporary folder that goes with the process, in local mode only (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if "base" not in _own:
             _own["base"] = tempfile.mkdtemp(prefix="llm-")
             atexit.register(shutil.rmtree, _own["base"], ignore_errors=True)
@@ -38,7 +76,8 @@ def forget(df: DataFrame, spark: SparkSession) -> None:
 
 
 def documents(df: DataFrame, *columns: str) -> DataFrame:
-    """The named columns of a documents table, whatever else it holds."""
+    """The named columns of a documents table, whatever else it holds; its texts go to Python in small batches."""
+    small_batches(df.sparkSession)
     return df.select(*[df[c] for c in columns])
 
 

@@ -28,6 +28,7 @@ SPANS = "doc_id long, start_word long, n_words long, first_doc_id long"
 
 
 def _anchors(length: int):
+    @shared.released
     def anchors(batches):
         for b in batches:
             texts, ids = b.column("text"), b.column("doc_id").to_numpy()
@@ -39,6 +40,7 @@ def _anchors(length: int):
 
 
 def _cut(length: int):
+    @shared.released
     def cut(batches):
         for b in batches:
             texts, ids, runs = b.column("text"), b.column("doc_id").to_numpy(), b.column("runs")
@@ -121,6 +123,7 @@ def _shards(length: int, folder: str, budget: int, most: int):
         if len(out[0]):
             return pa.RecordBatch.from_arrays([pa.array(c) for c in spans(*out, length)], ["doc_id", "start_word", "n_words", "first_doc_id"])
 
+    @shared.released
     def shards(batches):
         d, s, runs, held = [], [], [], 0
         for g in shared.grouped(batches):
@@ -139,6 +142,7 @@ def _shards(length: int, folder: str, budget: int, most: int):
     return shards
 
 
+@shared.released
 def _join_spans(batches):
     for g in shared.grouped(batches, "doc_id"):
         doc, start, n, first = (shared.column(g, c).to_numpy() for c in ("doc_id", "start_word", "n_words", "first_doc_id"))

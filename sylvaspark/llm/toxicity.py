@@ -277,6 +277,7 @@ def scores(fitted: dict, words: textkit.Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _score(fitted: dict | None):
+    @shared.released
     def score(batches):
         for b in batches:
             texts, ids = b.column("text"), b.column("doc_id")
