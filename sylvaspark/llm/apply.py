@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sylvaspark.llm import components, jaccard, shared, suffixdedup, textkit, toxicity, windows
+from sylvaspark.llm import jaccard, shared, suffixdedup, textkit, toxicity, windows
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
@@ -31,9 +31,8 @@ def without_toxic(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
 
 
 def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
-    """The lowest doc_id of each group of near duplicates stays, and all documents without one."""
-    pairs = jaccard.jaccard_join(docs, **options)
-    rest = components.components(pairs.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))).select(F.col("node").alias("_dropped_id"))
+    """The lowest doc_id of each class of near duplicates stays, and all documents without one."""
+    rest = jaccard.classes(docs, **options).where("doc_id <> class_id").select(F.col("doc_id").alias("_dropped_id"))
     return docs.join(rest, docs["doc_id"] == rest["_dropped_id"], "left_anti")
 
 

@@ -1,76 +1,221 @@
 """Operator 1, n-gram Jaccard join, by signature trees.
 
-Two documents match when the Jaccard index of their sets of word n-grams reaches `threshold`. Documents meet where they share
-one of `keys` min-wise hashes of longer n-grams. The documents that meet at a key form a signature tree, whose nodes hold the
-OR of token bitmaps with the ranges of set sizes and bit counts; a dual traversal drops node pairs whose largest possible
-overlap is too small for the threshold. What is left is verified on the whole sets.
+Two documents are linked when the Jaccard index of their sets of word n-grams reaches `threshold`. The search is exact:
+
+1. Documents with equal sets are one set (its 128-bit sums are equal), with the number of its copies; the lowest id stands for it.
+2. N-grams have one order for all documents, from rare to frequent, by counts over all documents. Sets at the threshold share one of their first
+   |set| - ceil(threshold |set|) + 1 n-grams; only those are sent to buckets by hash. Two sets that meet are candidates unless their sizes or the places of the
+   shared n-gram rule the threshold out.
+3. Candidates that share their lowest partner are dealt to cells of about `BLOCK` sets, and the sets of each two cells that hold a candidate meet.
+4. There the sets form a signature tree, whose nodes hold the OR of token bitmaps with the ranges of set sizes and bit counts; a dual traversal drops the node pairs
+   whose largest possible overlap is too small. What is left is verified on the whole sets of 64-bit n-grams.
+
+`classes` gives one row per document, so neither the result nor any table of links grows with the square of a group: two cells give each set its number of links and
+the lowest document it hangs together with. `jaccard_join` lists the pairs of representatives.
 
 Defined results
 - Null and empty texts, and texts without a word, match nothing; rows without doc_id are left out.
-- Texts of fewer than n words are one n-gram each.
-- Documents with equal sets (exact copies) are paired with the lowest id among them, jaccard 1, and that one stands for all of
-  them in other pairs. No pair is lost by this (equal sets have equal overlap with all others), and a text with a million
-  copies gives a million rows, not their square.
-- A pair comes once, doc_a < doc_b; a repeated row or a second text of one id never pairs with itself.
+- Texts of fewer than n words are one n-gram each. Texts of any length are read whole.
+- Documents with equal sets (exact copies) are linked, Jaccard 1. In `jaccard_join` each is paired with the lowest id among them, which stands for
+  all in other pairs: no link between different texts is lost, and a text with a million copies gives a million rows, not their square.
+- A pair comes once, doc_a < doc_b. A repeated row counts once. An id with several texts has the links of each of them (n_links counts text by text) and never one with itself.
 - Other columns of the input are ignored, so their names don't matter; an empty table gives no rows.
-The search is approximate by the min-wise keys alone. A pair whose routing 4-grams have the index j meets with the probability
-1 - (1 - j)^10: copies with one word in six edited, which are at the threshold, meet in 89 of 100 cases, those with one in eight in 98.
+The counts behind the order are those of n-grams that a slice of texts holds OFTEN times, and of the KNOWN most frequent; any order gives the same links, a good one fewer candidates.
 """
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylvaspark.llm import shared, textkit
+from sylvaspark.llm import components, shared, textkit
+
+N, THRESHOLD, WORDS64 = 2, 0.5, 8
+LEAF, FANOUT, BLOCK = 16, 8, 128
+OFTEN, OFTEN_WORD, KNOWN = 3, 8, 1 << 17
+BUCKET_BYTES, POSTING_BYTES, HELD = 12 << 20, 14, 1 << 21
+DOCUMENT, WORD, GRAM = 0, 1, 2
+EPS = 1e-9
+
+
+def _unique_sets(g: np.ndarray, ptr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each slice sorted, without repetitions."""
+    doc = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
+    order = np.argsort(g)
+    order = order[np.argsort(doc[order], kind="stable")]
+    g = g[order]
+    new = np.ones(len(g), bool)
+    new[1:] = (g[1:] != g[:-1]) | (doc[1:] != doc[:-1])
+    count = np.bincount(doc[new], minlength=len(ptr) - 1)
+    return g[new], np.concatenate(([0], np.cumsum(count)))
+
+
+def _set_ids(g: np.ndarray, ptr: np.ndarray) -> np.ndarray:
+    """A number for each set, from the sum and the exclusive or of its n-grams and its size; 0 for empty ones."""
+    size = np.diff(ptr)
+    out = np.zeros(len(size), np.int64)
+    some = np.flatnonzero(size)
+    if len(some):
+        starts = ptr[:-1][some]
+        h = np.add.reduceat(g, starts) ^ textkit.mix(np.bitwise_xor.reduceat(textkit.mix(g), starts) + size[some].astype(np.uint64))
+        out[some] = textkit.signed(textkit.mix(h))
+    return out
+
+
+def _frequent(keys: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    u, n = np.unique(keys, return_counts=True)
+    return u[n >= least], n[n >= least]
 
-N, ROUTE_N, THRESHOLD, KEYS, WORDS64 = 2, 4, 0.5, 10, 8
-LEAF, FANOUT, SMALL, BLOCK = 16, 8, 48, 256
-SCHEMA = "doc_id long, h1 long, h2 long, size int, sig binary, mh binary"
 
+def _records(n: int):
+    """Rows of three kinds: (DOCUMENT, doc_id, set id, size), (WORD, hash, null, count) and (GRAM, hash, null, documents of the slice)."""
 
-def _records(n: int, route_n: int, keys: int):
-    multipliers = np.random.default_rng(7).integers(1, 1 << 62, keys, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    def rows(kind: int, a, b, n):
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int8)), a, b, pa.array(n.astype(np.int32))], ["kind", "a", "b", "n"])
 
+    @shared.released
     def records(batches):
         for b in batches:
             texts, ids = b.column("text"), b.column("doc_id")
             for at, to in textkit.slices(texts):
                 words = textkit.Words(texts.slice(at, to - at))
-                keep = np.flatnonzero(words.count > 0)
-                if not len(keep):
-                    continue
                 g, ptr = _unique_sets(*textkit.grams(words, n))
-                route, rptr = textkit.grams(words, route_n)
-                size = np.diff(ptr)[keep]
-                starts = ptr[:-1][keep]
-                sig = _bitmaps(g, ptr)[keep]
-                mh = np.stack([np.minimum.reduceat(textkit.mix(route * m), rptr[:-1][keep]) for m in multipliers], axis=1)
-                cols = [ids.slice(at, to - at).take(pa.array(keep)), textkit.signed(np.add.reduceat(g, starts)), textkit.signed(np.bitwise_xor.reduceat(textkit.mix(g), starts)), size.astype(np.int32)]
-                flat = np.arange(len(keep) + 1)
-                cols += [shared.binaries(sig.reshape(-1), flat * WORDS64), shared.binaries((mh >> np.uint64(32)).astype(np.uint32).reshape(-1), flat * keys)]
-                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in cols], ["doc_id", "h1", "h2", "size", "sig", "mh"])
+                yield rows(DOCUMENT, ids.slice(at, to - at), pa.array(_set_ids(g, ptr)), np.diff(ptr))
+                for kind, keys, least in ((WORD, words.hash, OFTEN_WORD), (GRAM, g, OFTEN)):
+                    u, count = _frequent(keys, least)
+                    yield rows(kind, pa.array(textkit.signed(u)), pa.nulls(len(u), pa.int64()), count)
 
     return records
 
 
-def _unique_sets(g: np.ndarray, ptr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each slice sorted, without repetitions."""
-    doc = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
-    order = np.argsort(g)
+def _known(counts: DataFrame, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the KNOWN most frequent words or n-grams, sorted, and the logarithms of their counts."""
+    top = counts.where(F.col("kind") == kind).orderBy(F.desc("n"), "a").limit(KNOWN).toPandas()
+    key, n = top["a"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.float64)
+    order = np.argsort(key)
+    return key[order], np.log2(np.maximum(n[order], 1)).astype(np.float32)
+
+
+def _looked_up(known: tuple[np.ndarray, np.ndarray], keys: np.ndarray, otherwise: float) -> np.ndarray:
+    if not len(known[0]):
+        return np.full(len(keys), otherwise, np.float32)
+    at = np.minimum(np.searchsorted(known[0], keys), len(known[0]) - 1)
+    return np.where(known[0][at] == keys, known[1][at], np.float32(otherwise))
+
+
+def _ordered_sets(words: textkit.Words, n: int, known: dict):
+    """(n-grams, ptr) of the sets, each in the common order: expected number of documents, then hash."""
+    g, ptr = textkit.grams(words, n)
+    many = np.diff(ptr)
+    doc = np.repeat(np.arange(len(many)), many)
+    first = np.arange(len(g)) - np.repeat(ptr[:-1] - words.ptr[:-1], many)
+    f = _looked_up(known["word"], words.hash, 0.0)
+    e = np.full(len(g), -(n - 1) * known["total"], np.float32)  # words as if independent
+    for k in range(n):
+        e += f[np.minimum(first + k, len(f) - 1)] if len(f) else 0
+    e = np.maximum(e, _looked_up(known["gram"], g, -99))
+    e[np.repeat(words.count < n, many)] = -8
+    place = np.clip((np.maximum(e, -8) + 8) * 6, 0, 255).astype(np.uint64) << np.uint64(56)
+    order = np.argsort(place | g >> np.uint64(8))
     order = order[np.argsort(doc[order], kind="stable")]
-    g = g[order]
+    g, doc = g[order], doc[order]
     new = np.ones(len(g), bool)
     new[1:] = (g[1:] != g[:-1]) | (doc[1:] != doc[:-1])
-    count = np.bincount(doc[new], minlength=len(ptr) - 1)
-    return g[new], np.concatenate(([0], np.cumsum(count)))
+    return g[new], np.concatenate(([0], np.cumsum(np.bincount(doc[new], minlength=len(many)))))
 
 
-def _bitmaps(g: np.ndarray, ptr: np.ndarray) -> np.ndarray:
-    bits = (g >> np.uint64(20)).astype(np.int64) % (64 * WORDS64)
-    flags = np.zeros((len(ptr) - 1, 64 * WORDS64), np.uint8)
-    flags[np.repeat(np.arange(len(ptr) - 1), np.diff(ptr)), bits] = 1
-    return np.packbits(flags, axis=1, bitorder="little").view(np.uint64)
+def _prefixes(n: int, t: float, known: dict, buckets: int):
+    """A row for each bucket that a slice of texts has n-grams for: n-grams with their places (up to 65,535), by set; set ids, sizes, and the number of n-grams of each."""
+
+    @shared.released
+    def prefixes(batches):
+        for b in batches:
+            texts = b.column("text")
+            for at, to in textkit.slices(texts):
+                g, ptr = _ordered_sets(textkit.Words(texts.slice(at, to - at)), n, known)
+                sid, size = _set_ids(g, ptr), np.diff(ptr)
+                _, one = np.unique(sid, return_index=True)  # equal sets of a slice go once
+                one = one[size[one] > 0]
+                if not len(one):
+                    continue
+                many = size[one] - np.ceil(t * size[one] - EPS).astype(np.int64) + 1
+                place = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                row = np.repeat(np.arange(len(one)), many)
+                key = g[np.repeat(ptr[:-1][one], many) + place]
+                bucket = (key % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
+                order = np.argsort(bucket, kind="stable")
+                bucket, key, row, place = bucket[order], key[order], row[order], np.minimum(place[order], 65_535).astype(np.uint16)
+                new_bucket = np.concatenate(([True], bucket[1:] != bucket[:-1]))
+                seg = np.flatnonzero(new_bucket | np.concatenate(([True], row[1:] != row[:-1])))
+                starts = np.flatnonzero(new_bucket)
+                own, by_set = np.append(starts, len(key)), np.append(np.searchsorted(seg, starts), len(seg))
+                cols = [shared.binaries(key, own), shared.binaries(place, own)]
+                cols += [shared.binaries(x, by_set) for x in (sid[one][row[seg]], size[one][row[seg]].astype(np.int32), np.diff(np.append(seg, len(key))).astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[starts].astype(np.int32)), *cols], ["bucket", "keys", "places", "sids", "sizes", "counts"])
+
+    return prefixes
+
+
+def _may_match(size_a, size_b, place_a, place_b, t: float) -> np.ndarray:
+    """Whether sets of those sizes that share the n-grams at those places, and none before, may reach the threshold."""
+    need = np.ceil(t / (1 + t) * (size_a + size_b) - EPS)
+    return (np.minimum(size_a, size_b) >= t * np.maximum(size_a, size_b) - EPS) & (np.minimum(size_a - place_a, size_b - place_b) >= need)
+
+
+def _candidates(t: float):
+    """Pairs of set ids that share an n-gram of a bucket; repeated ones may come from other buckets."""
+
+    def emit(codes: np.ndarray, ids: np.ndarray):
+        for s in range(0, len(codes), 1 << 18):
+            c = codes[s : s + (1 << 18)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids[c // len(ids)]), pa.array(ids[c % len(ids)])], ["a", "b"])
+
+    def of_bucket(g):
+        key, sid, size, count = (shared.ragged(g, c, d)[0] for c, d in (("keys", np.uint64), ("sids", np.int64), ("sizes", np.int32), ("counts", np.int32)))
+        place = shared.ragged(g, "places", np.uint16)[0]
+        ids, sid = np.unique(sid, return_inverse=True)
+        sid, size = np.repeat(sid, count), np.repeat(size, count)
+        order = np.argsort(key, kind="stable")
+        at = np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1])))
+        many = np.diff(np.append(at, len(order)))
+        keep = np.repeat(many > 1, many)
+        order = order[keep]
+        order = order[np.lexsort((sid[order], key[order]))]
+        new = np.ones(len(order), bool)
+        new[1:] = (key[order][1:] != key[order][:-1]) | (sid[order][1:] != sid[order][:-1])
+        order = order[new]
+        key, sid, size, place = key[order], sid[order].astype(np.int64), size[order].astype(np.int64), place[order].astype(np.int64)
+        ends = np.append(np.flatnonzero(key[1:] != key[:-1]) + 1, len(key))
+        left = np.repeat(ends, np.diff(np.concatenate(([0], ends)))) - np.arange(len(key)) if len(key) else np.zeros(0, np.int64)
+        codes, held, d = [], 0, 1
+        live = np.flatnonzero(left > d)
+        while len(live):
+            for s in range(0, len(live), 1 << 18):
+                x = live[s : s + (1 << 18)]
+                y = x + d
+                ok = _may_match(size[x], size[y], place[x], place[y], t)
+                codes.append(sid[x[ok]] * len(ids) + sid[y[ok]])
+                held += len(codes[-1])
+            if held > HELD:
+                codes = [np.unique(np.concatenate(codes))]
+                held = len(codes[0])
+                if held > HELD // 2:
+                    yield from emit(codes[0], ids)
+                    codes, held = [], 0
+            d += 1
+            live = live[left[live] > d]
+        if held:
+            yield from emit(np.unique(np.concatenate(codes)), ids)
+
+    @shared.released
+    def candidates(batches):
+        for g in shared.grouped(batches, "bucket"):
+            bucket = shared.column(g, "bucket").to_numpy()
+            cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+            for s, e in zip(cuts, np.append(cuts[1:], len(bucket))):
+                yield from of_bucket(g.slice(s, e - s))
+
+    return candidates
 
 
 def _possible(lo_a, hi_a, pop_a, lo_b, hi_b, pop_b, common, t):
@@ -79,6 +224,13 @@ def _possible(lo_a, hi_a, pop_a, lo_b, hi_b, pop_b, common, t):
     return (hi_a >= t * lo_b) & (hi_b >= t * lo_a) & (most * (1 + t) >= t * (lo_a + lo_b) - 1e-6)
 
 
+def _bitmaps(g: np.ndarray, ptr: np.ndarray) -> np.ndarray:
+    """A bitmap of 64 * WORDS64 bits for each set of whole numbers."""
+    flags = np.zeros((len(ptr) - 1, 64 * WORDS64), np.uint8)
+    flags[np.repeat(np.arange(len(ptr) - 1), np.diff(ptr)), (g % (64 * WORDS64)).astype(np.int64)] = 1
+    return np.packbits(flags, axis=1, bitorder="little").view(np.uint64)
+
+
 def tree_pairs(size: np.ndarray, sig: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows that may reach the threshold: dual traversal of a signature tree over rows ordered by size."""
     order = np.lexsort((sig[:, 1], sig[:, 0], size))
@@ -109,120 +261,148 @@ def tree_pairs(size: np.ndarray, sig: np.ndarray, t: float) -> tuple[np.ndarray,
     return (order[a], order[b]) if len(levels) > 1 else (a[:0], b[:0])
 
 
-def _pair_key(key: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Where a pair is verified: at its key, or, beyond the first BLOCK documents of a key, at a key of its two blocks, so that large groups spread over tasks."""
-    block = (np.minimum(a, b).astype(np.uint64) << np.uint64(32)) | np.maximum(a, b).astype(np.uint64)
-    return np.where(block == 0, key, textkit.signed(textkit.mix(key.view(np.uint64) ^ textkit.mix(block))))
-
-
-def _candidates(t: float, keys: int):
-    def candidates(batches):
-        for g in shared.grouped(batches):
-            key, ids, which = (shared.column(g, c).to_numpy() for c in ("key", "doc_id", "which"))
-            size, sig, mh = shared.column(g, "size").to_numpy().astype(np.int64), shared.fixed(g, "sig", np.uint64, WORDS64), shared.fixed(g, "mh", np.uint32, keys)
-            starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-            many = np.diff(np.concatenate((starts, [len(key)])))
-            pairs = []
-            rank = np.arange(len(key)) - np.repeat(starts, many)
-            left = np.repeat(many, many) - rank  # rows from here to the group's end
-            small = np.repeat(many <= SMALL, many)
-            for d in range(1, min(SMALL, int(many.max()))):
-                a = np.flatnonzero(small & (left > d))
-                if len(a):
-                    pairs.append((a, a + d))
-            for s, m in zip(starts[many > SMALL], many[many > SMALL]):
-                x, y = tree_pairs(size[s : s + m], sig[s : s + m], t)
-                pairs.append((x + s, y + s))
-            for a, b in pairs:
-                for s in range(0, len(a), 1 << 16):
-                    x, y = a[s : s + (1 << 16)], b[s : s + (1 << 16)]
-                    same = (mh[x] == mh[y]).argmax(axis=1)
-                    ok = (same == which[x]) & (ids[x] != ids[y])  # a pair belongs to the first key that it shares
-                    x, y = x[ok], y[ok]
-                    pop = np.bitwise_count(sig[x]).sum(axis=1).astype(np.int64), np.bitwise_count(sig[y]).sum(axis=1).astype(np.int64)
-                    ok = _possible(size[x], size[x], pop[0], size[y], size[y], pop[1], np.bitwise_count(sig[x] & sig[y]).sum(axis=1).astype(np.int64), t)
-                    x, y = x[ok], y[ok]
-                    if len(x):
-                        yield pa.RecordBatch.from_arrays([pa.array(_pair_key(key[x], rank[x] // BLOCK, rank[y] // BLOCK)), pa.array(np.minimum(ids[x], ids[y])), pa.array(np.maximum(ids[x], ids[y]))], ["key", "doc_a", "doc_b"])
-
-    return candidates
-
-
 def _sets(n: int):
+    """The sets asked for, once for each pair of cells: rows (doc_id, text, wanted) -> (key, sid, cell, rep, copies, grams)."""
+
+    @shared.released
     def sets(batches):
         for b in batches:
             texts = b.column("text")
             for at, to in textkit.slices(texts):
-                g, ptr = textkit.grams(textkit.Words(texts.slice(at, to - at)), n)
-                g, ptr = _unique_sets((g >> np.uint64(32)).astype(np.uint32), ptr)
-                keys = b.column("keys").slice(at, to - at)
-                lists = np.diff(keys.offsets.to_numpy()) if len(keys) else np.zeros(0, np.int64)
-                row = np.repeat(np.arange(to - at), lists)
-                packed = shared.binaries(g, ptr)
-                for s in range(0, len(row), 2000):
-                    r = pa.array(row[s : s + 2000])
-                    yield pa.RecordBatch.from_arrays([keys.flatten().slice(s, len(r)), b.column("doc_id").slice(at, to - at).take(r), pa.nulls(len(r), pa.int64()), packed.take(r)], ["key", "doc_a", "doc_b", "grams"])
+                g, ptr = _unique_sets(*textkit.grams(textkit.Words(texts.slice(at, to - at)), n))
+                sid, packed, wanted = _set_ids(g, ptr), shared.binaries(g, ptr), b.column("wanted").slice(at, to - at)
+                row = np.repeat(np.arange(to - at), np.diff(wanted.offsets.to_numpy()))
+                key, own, cell, copies = (wanted.flatten().field(c) for c in ("key", "sid", "cell", "copies"))
+                keep = np.flatnonzero(own.to_numpy() == sid[row])  # of an id with several texts, the one that is meant
+                for s in range(0, len(keep), 1000):
+                    k = pa.array(keep[s : s + 1000])
+                    r = pa.array(row[keep[s : s + 1000]])
+                    yield pa.RecordBatch.from_arrays([key.take(k), own.take(k), cell.take(k), b.column("doc_id").slice(at, to - at).take(r), copies.take(k), packed.take(r)], ["key", "sid", "cell", "rep", "copies", "grams"])
 
     return sets
 
 
-def _verify(t: float):
+def _overlaps(local: np.ndarray, ptr: np.ndarray, x: np.ndarray, y: np.ndarray, vocabulary: int) -> np.ndarray:
+    """Common members of the sets x[i] and y[i]; x is sorted."""
+    mark, hit = np.zeros(vocabulary, np.int32), np.empty(len(x), np.int64)
+    cuts = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1]))) if len(x) else []
+    for c, d in zip(cuts, np.append(cuts[1:], len(x))):
+        mine, partners = local[ptr[x[c]] : ptr[x[c] + 1]], y[c:d]
+        mark[mine] = 1
+        if len(partners) * 4 > len(ptr):
+            hit[c:d] = np.add.reduceat(mark[local], ptr[:-1])[partners]
+        else:
+            hit[c:d] = [mark[local[ptr[p] : ptr[p + 1]]].sum() for p in partners]
+        mark[mine] = 0
+    return hit
+
+
+def _verify(t: float, pairs: bool):
+    """Of the sets of each two cells, the pairs (doc_a, doc_b, jaccard), or rows (sid, rep, links, root): the links of each set, copies counted, and the lowest
+    representative that it hangs together with."""
+
+    def of_key(sid, cell, rep, copies, grams, ptr):
+        _, first = np.unique(sid, return_index=True)
+        sid, cell, rep, copies = sid[first], cell[first], rep[first], copies[first]
+        size = ptr[first + 1] - ptr[first]
+        tokens = np.concatenate([grams[ptr[r] : ptr[r + 1]] for r in first])
+        vocabulary, local = np.unique(tokens, return_inverse=True)
+        at = np.concatenate(([0], np.cumsum(size)))
+        x, y = tree_pairs(size, _bitmaps(local, at), t)
+        if cell.min() != cell.max():  # pairs within a cell meet at its own key
+            across = cell[x] != cell[y]
+            x, y = x[across], y[across]
+        order = np.argsort(x, kind="stable")
+        x, y = x[order], y[order]
+        hit = _overlaps(local, at, x, y, len(vocabulary))
+        j = hit / (size[x] + size[y] - hit)
+        ok = j >= t
+        return sid, rep, copies, x[ok], y[ok], j[ok]
+
+    def rooted(rep, x, y):
+        """The lowest rep of each set's component."""
+        root = rep.copy()
+        while True:
+            low = root.copy()
+            np.minimum.at(low, x, root[y])
+            np.minimum.at(low, y, low[x])
+            if (low == root).all():
+                return root
+            root = low
+
+    @shared.released
     def verify(batches):
         for g in shared.grouped(batches):
-            key, a = shared.column(g, "key").to_numpy(), shared.column(g, "doc_a").to_numpy()
-            is_set, b = shared.column(g, "doc_b").is_null().to_numpy(zero_copy_only=False), shared.column(g, "doc_b").fill_null(0).to_numpy()
-            values, ptr = shared.ragged({"grams": shared.column(g, "grams").fill_null(b"")}, "grams", np.uint32)
+            key, sid, cell, rep, copies = (shared.column(g, c).to_numpy() for c in ("key", "sid", "cell", "rep", "copies"))
+            grams, ptr = shared.ragged(g, "grams", np.uint64)
             starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
             for s, e in zip(starts, np.append(starts[1:], len(key))):
-                own, pairs = s + np.flatnonzero(is_set[s:e]), s + np.flatnonzero(~is_set[s:e])
-                if len(own) < 2 or not len(pairs):
+                if e - s < 2:
                     continue
-                ids, first = np.unique(a[own], return_index=True)
-                own = own[first]
-                tokens = np.concatenate([values[ptr[r] : ptr[r + 1]] for r in own])
-                size = ptr[own + 1] - ptr[own]
-                at = np.concatenate(([0], np.cumsum(size)))
-                vocabulary, local = np.unique(tokens, return_inverse=True)
-                x, y = np.searchsorted(ids, a[pairs]), np.searchsorted(ids, b[pairs])
-                order = np.argsort(x, kind="stable")
-                x, y = x[order], y[order]
-                mark = np.zeros(len(vocabulary), np.int32)
-                cuts = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
-                out = []
-                for c, d in zip(cuts, np.append(cuts[1:], len(x))):
-                    mine, partners = local[at[x[c]] : at[x[c] + 1]], y[c:d]
-                    mark[mine] = 1
-                    if len(partners) * 4 > len(ids):
-                        hit = np.add.reduceat(mark[local], at[:-1])[partners]
-                    else:
-                        hit = np.array([mark[local[at[p] : at[p + 1]]].sum() for p in partners])
-                    mark[mine] = 0
-                    j = hit / (size[x[c]] + size[partners] - hit)
-                    k = j >= t
-                    out.append((np.full(int(k.sum()), ids[x[c]]), ids[partners[k]], j[k]))
-                p, q, j = (np.concatenate(v) for v in zip(*out))
-                if len(p):
-                    yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(q), pa.array(j)], ["doc_a", "doc_b", "jaccard"])
+                ids, reps, many, x, y, j = of_key(sid[s:e], cell[s:e], rep[s:e], copies[s:e], grams, ptr[s : e + 1])
+                if not len(x):
+                    continue
+                if pairs:
+                    ok = reps[x] != reps[y]
+                    a, b = reps[x[ok]], reps[y[ok]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(j[ok])], ["doc_a", "doc_b", "jaccard"])
+                else:
+                    links = np.bincount(x, many[y], len(ids)) + np.bincount(y, many[x], len(ids))
+                    some = np.flatnonzero(links)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(reps[some]), pa.array(links[some].astype(np.int64)), pa.array(rooted(reps, x, y)[some])], ["sid", "rep", "links", "root"])
 
     return verify
 
 
-def jaccard_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, route_n: int = ROUTE_N, keys: int = KEYS) -> DataFrame:
-    """(doc_a, doc_b, jaccard) of documents (doc_id, text). See the module for the defined results."""
+def _joined(docs: DataFrame, n: int, t: float, pairs: bool) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, sid, size, rep, copies) of every document and text; what _verify finds."""
     spark = SparkSession.active()
     docs = shared.documents(docs, "doc_id", "text").where(F.col("doc_id").isNotNull())
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    records = docs.mapInArrow(_records(n, route_n, keys), SCHEMA)
-    same = Window.partitionBy("h1", "h2", "size")
-    records = shared.persist_shared(records.withColumn("rep", F.min("doc_id").over(same)), spark)
-    stars = records.where("doc_id <> rep").select(F.col("rep").alias("doc_a"), F.col("doc_id").alias("doc_b"), F.lit(1.0).alias("jaccard")).distinct()
-    one = records.where("doc_id = rep")
-    key = lambda j: F.struct(F.lit(j).alias("which"), F.xxhash64(F.lit(j), F.substring("mh", 4 * j + 1, 4)).alias("key"))
-    routed = one.select("doc_id", "size", "sig", "mh", F.inline(F.array(*[key(j) for j in range(keys)])))
-    routed = routed.select("key", "which", "doc_id", "size", "sig", "mh").repartition("key").sortWithinPartitions("key")
-    pairs = shared.persist_shared(routed.mapInArrow(_candidates(threshold, keys), "key long, doc_a long, doc_b long").distinct(), spark)
-    wanted = pairs.select("key", F.explode(F.array("doc_a", "doc_b")).alias("doc_id")).groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
-    held = docs.join(wanted, "doc_id").select("doc_id", "text", "keys").mapInArrow(_sets(n), "key long, doc_a long, doc_b long, grams binary")
-    both = held.unionByName(pairs.withColumn("grams", F.lit(None).cast("binary")))
-    found = both.repartition("key").sortWithinPartitions("key").mapInArrow(_verify(threshold), "doc_a long, doc_b long, jaccard double")
-    return found.unionByName(stars)
+    records = shared.persist_shared(docs.mapInArrow(_records(n), "kind byte, a long, b long, n int"), spark)
+    counts = records.where(F.col("kind") != DOCUMENT).groupBy("kind", "a").agg(F.sum("n").alias("n"))
+    documents = records.where(F.col("kind") == DOCUMENT)
+    total, grams = documents.agg(F.count("*"), F.sum("n")).first()
+    known = {"word": _known(counts, WORD), "gram": _known(counts, GRAM)}
+    known["total"] = float(np.log2(max(2, grams or 0)))
+    members = documents.select(F.col("a").alias("doc_id"), F.col("b").alias("sid"), F.col("n").alias("size")).distinct()
+    sets = members.where("size > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+    sets = shared.persist_shared(sets, spark)
+    buckets = max(12, -(-int((grams or 0) * (1 - t) + (total or 0)) * POSTING_BYTES // BUCKET_BYTES))
+    posted = docs.select("text").mapInArrow(_prefixes(n, t, known, buckets), "bucket int, keys binary, places binary, sids binary, sizes binary, counts binary")
+    found = posted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_candidates(t), "a long, b long").distinct()
+    found = shared.persist_shared(found, spark)
+    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    labels = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label"))
+    blocks = labels.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    cells = shared.persist_shared(labels.join(blocks, "label").select(F.col("a").alias("sid"), F.xxhash64("label", F.pmod(F.xxhash64("a"), "blocks")).alias("cell")), spark)
+    ends = found.join(cells.select(F.col("sid").alias("a"), F.col("cell").alias("cell_a")), "a").join(cells.select(F.col("sid").alias("b"), F.col("cell").alias("cell_b")), "b")
+    ends = ends.withColumn("key", F.xxhash64(F.least("cell_a", "cell_b"), F.greatest("cell_a", "cell_b")))
+    wanted = ends.select("key", F.inline(F.array(F.struct(F.col("a").alias("sid"), F.col("cell_a").alias("cell")), F.struct(F.col("b").alias("sid"), F.col("cell_b").alias("cell"))))).distinct()
+    wanted = wanted.join(sets, "sid").groupBy(F.col("rep").alias("doc_id")).agg(F.collect_list(F.struct("key", "sid", "cell", "copies")).alias("wanted"))
+    met = docs.join(wanted, "doc_id").select("doc_id", "text", "wanted").mapInArrow(_sets(n), "key long, sid long, cell long, rep long, copies long, grams binary")
+    schema = "doc_a long, doc_b long, jaccard double" if pairs else "sid long, rep long, links long, root long"
+    return members.join(sets, "sid", "left"), met.repartition("key").sortWithinPartitions("key").mapInArrow(_verify(t, pairs), schema)
+
+
+def jaccard_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_a, doc_b, jaccard) of documents (doc_id, text): representatives that are linked, and each other copy with its representative."""
+    members, found = _joined(docs, n, threshold, True)
+    copies = members.where("doc_id <> rep").select(F.col("rep").alias("doc_a"), F.col("doc_id").alias("doc_b"), F.lit(1.0).alias("jaccard"))
+    return found.unionByName(copies).groupBy("doc_a", "doc_b").agg(F.max("jaccard").alias("jaccard"))
+
+
+def classes(docs: DataFrame, n: int = N, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, class_id, n_links) of documents (doc_id, text): one row per id, with the lowest id of those it hangs together with and the number of its links."""
+    spark = SparkSession.active()
+    members, found = _joined(docs, n, threshold, False)
+    members, found = shared.persist_shared(members, spark), shared.persist_shared(found, spark)
+    several = members.where("size > 0").groupBy("doc_id").agg(F.count("*").alias("texts"), F.min("rep").alias("low"), F.max("rep").alias("high")).where("texts > 1")
+    edges = found.select(F.col("rep").alias("a"), F.col("root").alias("b"))
+    for rep in ("low", "high"):
+        edges = edges.unionByName(several.select(F.col("doc_id").alias("a"), F.col(rep).alias("b")))
+    of_rep = components.components(edges.where("a <> b"))
+    links = found.groupBy("sid").agg(F.sum("links").alias("links"))
+    rows = members.join(links, "sid", "left").join(of_rep.withColumnRenamed("node", "rep"), "rep", "left")
+    class_id = F.coalesce("component", "rep", "doc_id")
+    return rows.groupBy("doc_id").agg(F.min(class_id).alias("class_id"), F.sum(F.coalesce("links", F.lit(0)) + F.coalesce(F.col("copies") - 1, F.lit(0))).alias("n_links"))

@@ -1,3 +1,5 @@
+import collections
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -74,18 +76,67 @@ def jaccard_by_force(rows, t):
     return sets, out
 
 
-def test_jaccard_join_against_brute_force(spark):
-    rows = corpus(3, 150)
-    out = jaccard.jaccard_join(frame(spark, rows)).collect()
+SHORT = ["a b c d", "a b c e", "a b c", "a b c x e f g", "a b c d e f g", "a", "A", "b", "a a a a", "a b", "b a", "a b a"]
+
+
+def jaccard_rows():
+    """Pairs at, above and below the threshold: short texts, variants with some words edited, and a passage that many documents share."""
+    rng = np.random.default_rng(3)
+    rows = corpus(3, 150) + [(1000 + i, t) for i, t in enumerate(SHORT)]
+    for k in range(100):
+        w = [f"w{x}" for x in rng.integers(0, 300, int(rng.integers(4, 90)))]
+        for v in range(int(rng.integers(2, 6))):
+            edited = [f"e{rng.integers(0, 50)}" if rng.random() < 0.06 * v else x for x in w]
+            rows.append((2000 + 10 * k + v, " ".join(edited)))
+    passage = " ".join(f"p{i}" for i in range(12))
+    return rows + [(4000 + i, f"{passage} " + " ".join(f"w{x}" for x in rng.integers(0, 300, 14))) for i in range(60)]
+
+
+def classes_by_force(rows):
+    _, want = jaccard_by_force(rows, jaccard.THRESHOLD)
+    links, group = collections.Counter(i for p in want for i in p), {i: {i} for i, _ in rows if i is not None}
+    for a, b in want:
+        if group[a] is not group[b]:
+            group[a] |= group[b]
+            for i in group[b]:
+                group[i] = group[a]
+    return {i: (min(s), links[i]) for i, s in group.items()}
+
+
+@pytest.mark.parametrize("block, known", [(128, 1 << 17), (4, 3)])
+def test_jaccard_join_equals_brute_force(spark, monkeypatch, block, known):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "KNOWN", known)
+    rows = jaccard_rows()
+    d = frame(spark, rows).repartition(5)
+    out = jaccard.jaccard_join(d).collect()
     sets, want = jaccard_by_force(rows, jaccard.THRESHOLD)
-    for r in out:
-        assert r.doc_a < r.doc_b and want[r.doc_a, r.doc_b] == pytest.approx(r.jaccard)
-    assert len({(r.doc_a, r.doc_b) for r in out}) == len(out)
     lowest = {i: min(j for j in sets if sets[j] == s) for i, s in sets.items()}
-    got = {(r.doc_a, r.doc_b) for r in out}
-    full = {p for p in want if (min(lowest[p[0]], lowest[p[1]]), max(lowest[p[0]], lowest[p[1]])) in got or lowest[p[0]] == lowest[p[1]]}
-    assert len(full) >= 0.95 * len(want) > 5
-    assert {(lowest[i], i) for i in sets if lowest[i] != i} <= got
+    expect = {p: j for p, j in want.items() if all(lowest[i] == i for i in p)} | {(lowest[i], i): 1.0 for i in sets if lowest[i] != i}
+    assert len(out) == len(expect) > 100
+    assert {(r.doc_a, r.doc_b): pytest.approx(r.jaccard) for r in out} == expect
+    got = jaccard.classes(d).collect()
+    assert len(got) == len({i for i, _ in rows if i is not None})
+    assert {r.doc_id: (r.class_id, r.n_links) for r in got} == classes_by_force(rows)
+
+
+def test_jaccard_of_ids_with_several_texts(spark):
+    w = [f"w{i}" for i in range(40)]
+    a, b = " ".join(w), " ".join(f"v{i}" for i in range(40))
+    rows = [(1, a), (1, b), (1, a), (2, " ".join(w[:36])), (3, b), (4, " ".join(f"v{i}" for i in range(3, 40))), (5, "else"), (0, " ".join(w[4:])), (6, None), (6, "")]
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.classes(frame(spark, rows)).collect()}
+    assert got == {0: (0, 2), 1: (0, 4), 2: (0, 2), 3: (0, 2), 4: (0, 2), 5: (5, 0), 6: (6, 0)}
+    assert {(r.doc_a, r.doc_b) for r in jaccard.jaccard_join(frame(spark, rows)).collect()} == {(0, 1), (0, 2), (1, 2), (1, 3), (1, 4)}
+
+
+def test_jaccard_of_hot_copies_and_a_very_long_text(spark):
+    """A third of the rows has one text, another a text with one word edited; one text is long."""
+    w = [f"w{i}" for i in range(30)]
+    rows = [(i, " ".join(w)) for i in range(300)] + [(1000 + i, " ".join([*w[:15], f"x{i}", *w[16:]])) for i in range(300)] + [(5000, "long " * 100_000 + " ".join(w)), (5001, " ".join(f"q{i}" for i in range(60_000))), (5002, " ".join(f"q{i}" for i in range(80_000)))]
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.classes(frame(spark, rows)).collect()}
+    assert all(got[i] == (0, 600) for i in [*range(300), *range(1000, 1300)])
+    assert got[5001] == got[5002] == (5001, 1)
+    assert got[5000] == (0, 600)  # 31 bigrams: the repeated word's, and the 29 of the others with one before
 
 
 def test_jaccard_tree_loses_nothing():
@@ -93,7 +144,7 @@ def test_jaccard_tree_loses_nothing():
     base = [rng.integers(0, 1 << 62, rng.integers(20, 60), dtype=np.uint64) for _ in range(12)]
     sets = [np.unique(np.concatenate((b[: rng.integers(10, len(b))], rng.integers(0, 1 << 62, 6, dtype=np.uint64)))) for b in base for _ in range(25)]
     ptr = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
-    sig = jaccard._bitmaps(np.concatenate(sets), ptr)
+    sig = jaccard._bitmaps(np.unique(np.concatenate(sets), return_inverse=True)[1], ptr)
     a, b = jaccard.tree_pairs(np.diff(ptr), sig, 0.5)
     got = {(min(x, y), max(x, y)) for x, y in zip(a.tolist(), b.tolist())}
     for i in range(len(sets)):
@@ -104,11 +155,12 @@ def test_jaccard_tree_loses_nothing():
     assert len(got) < len(sets) * (len(sets) - 1) // 4
 
 
-@pytest.mark.parametrize("block", [256, 25])
-def test_jaccard_large_group_uses_the_tree(spark, monkeypatch, block):
+@pytest.mark.parametrize("block", [128, 25])
+def test_jaccard_of_a_large_group(spark, monkeypatch, block):
     monkeypatch.setattr(jaccard, "BLOCK", block)
     rows = [(i, " ".join(f"w{j}" for j in range(100)) + f" v{i} u{i}") for i in range(120)]
     assert jaccard.jaccard_join(frame(spark, rows, False)).count() == 120 * 119 // 2
+    assert {(r.class_id, r.n_links) for r in jaccard.classes(frame(spark, rows, False)).collect()} == {(0, 119)}
 
 
 def test_suffix_array_dedup_against_brute_force(spark):
@@ -175,6 +227,7 @@ def test_fingerprint_index_batches_and_compaction(spark):
 
 @pytest.mark.parametrize("operator", [jaccard.jaccard_join, suffixdedup.repeated_spans, fingerprints.incremental_spans])
 def test_empty_tables(spark, operator):
+    assert jaccard.classes(frame(spark, [])).count() == 0
     assert operator(frame(spark, [])).count() == 0
     assert operator(frame(spark, [(1, None), (2, ""), (None, "a b c")])).count() == 0
 
