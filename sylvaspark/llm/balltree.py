@@ -1,26 +1,30 @@
 """Operator 3, exact top-k search by inner product: ball-tree branch and bound per shard.
 
-Every vector is a query. Vectors go to the shard of their nearest pivot, and each shard has a ball tree. For a query q, a ball with centre c and
-radius r holds no inner product above q.c + |q| r; leaves are visited in the order of that bound (the least along the path from the root),
-until it falls below the query's kth score. First each query searches its own shard; then it goes, with its kth score so far,
-to those other shards whose ball can still beat it.
+The queries are the vectors whose vec_id is divisible by `every`; they are searched against all vectors. Vectors go to the shard of their nearest pivot, a shard beyond
+twice its size is dealt to parts (so equal vectors don't crowd one), and each shard or part has a file in the shared folder and a ball tree. For a query q, a ball with
+centre c and radius r holds no inner product above q.c + |q| r; leaves are visited in the order of that bound (the least along the path from the root), until it falls
+below the query's kth score. Queries visit the shards in the order of the same bound, in rounds of 1, 2, 4, ... shards; after each round the kth score
+found so far goes with the query, which visits only shards that can still beat it.
 
 Defined results
-- k neighbours of each vector, itself (its vec_id) left out, by score, then id; fewer where the table has fewer vectors.
+- k neighbours of each query, itself (its vec_id) left out, by score, then id; fewer where the table has fewer vectors.
 - Scores are rounded to 9 places before they are compared, so ties are those of exact arithmetic.
 - Null and empty vectors and those with nulls or not of the commonest length are left out, as are rows without vec_id; of rows that repeat an id the one
   with the least embedding counts. Zero vectors are searched and found like others.
 - Other columns are ignored; an empty table gives no rows.
+The driver and each task hold the shards' balls: at most about MOST_SHARDS.
 """
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as ds
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sylvaspark.llm import projections, shared
 
-K, SHARD_ROWS, LEAF, BLOCK_ROWS, EPS = 10, 8192, 256, 65_536, 1e-6
+K, EVERY, SHARD_ROWS, MOST_SHARDS, LEAF, EPS = 10, 100, 8192, 1 << 15, 256, 1e-6
 FOUND = "vec_id long, neighbor_id long, score double"
 
 
@@ -87,94 +91,112 @@ def search(tree: Tree, x: np.ndarray, ids: np.ndarray, q: np.ndarray, qids: np.n
     return r, best_i[r, c], best_s[r, c], kth
 
 
-def _assign(width: int, pivots: np.ndarray, blocks: int):
+def _assign(width: int, pivots: np.ndarray):
     @shared.released
     def assign(batches):
         for b in batches:
             x = projections.matrix(b.column("embedding"), width)
             near = np.concatenate([(x[s : s + 4096] @ pivots.T - 0.5 * (pivots**2).sum(axis=1)).argmax(axis=1) for s in range(0, len(x), 4096)] or [np.zeros(0, np.int64)])
             raw = shared.binaries(np.ascontiguousarray(x).reshape(-1), np.arange(len(x) + 1) * width)
-            ids = b.column("vec_id")
-            yield pa.RecordBatch.from_arrays([pa.array(near.astype(np.int32)), pa.array((ids.to_numpy() % blocks).astype(np.int32)), ids, raw], ["shard", "block", "vec_id", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(near.astype(np.int32)), b.column("vec_id"), raw], ["shard", "vec_id", "v"])
 
     return assign
 
 
-def _take(t, width: int):
-    t = t.combine_chunks()
+def _load(folder: str, cell: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of a cell: a shard, or a part of one."""
+    fs, root = pafs.FileSystem.from_uri(f"{folder}/cell={cell}")
+    t = ds.dataset(root, filesystem=fs, format="parquet").to_table(columns=["vec_id", "v"]).combine_chunks()
     return shared.column(t, "vec_id").to_numpy(), shared.fixed(t, "v", np.float32, width).astype(np.float64)
 
 
-def _own(width: int, k: int):
-    def own(t: pa.Table) -> pa.Table:
-        ids, x = _take(t, width)
-        r, i, s, kth = search(Tree(x), x, ids, x, ids, k, np.full(len(x), -np.inf))
-        return pa.table([pa.array(ids[r]), pa.array(i), pa.array(s)], ["vec_id", "neighbor_id", "score"])
-
-    return own
-
+def _balls(folder: str, width: int):
+    @shared.released
+    def balls(batches):
+        for b in batches:
+            for cell in b.column("id").to_pylist():
+                _, x = _load(folder, cell, width)
+                c = x.mean(axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array([cell]), pa.array([c.tolist()]), pa.array([float(np.sqrt(((x - c) ** 2).sum(axis=1).max()))])], ["cell", "center", "radius"])
 
-def _ball(width: int):
-    def ball(t: pa.Table) -> pa.Table:
-        _, x = _take(t, width)
-        c = x.mean(axis=0)
-        return pa.table([t.column("shard").slice(0, 1), pa.array([c.tolist()]), pa.array([float(np.sqrt(((x - c) ** 2).sum(axis=1).max()))])], ["shard", "center", "radius"])
+    return balls
 
-    return ball
 
+def _routes(width: int, cells: np.ndarray, centers: np.ndarray, radii: np.ndarray, lo: int, hi: int):
+    """Each query to the cells lo to hi in the order of its bounds, as far as they can beat its kth score."""
 
-def _routes(width: int, shards: np.ndarray, centers: np.ndarray, radii: np.ndarray):
     @shared.released
     def routes(batches):
         for b in batches:
-            if not b.num_rows:
-                continue
-            x, kth, home = shared.fixed(b, "v", np.float32, width).astype(np.float64), b.column("kth").fill_null(-np.inf).to_numpy(), b.column("shard").to_numpy()
-            bound = x @ centers.T + np.linalg.norm(x, axis=1)[:, None] * radii
-            row, at = np.nonzero((bound + EPS >= kth[:, None]) & (shards[None, :] != home[:, None]))
-            for s in range(0, len(row), 20_000):
-                r = pa.array(row[s : s + 20_000])
-                yield pa.RecordBatch.from_arrays([pa.array(shards[at[s : s + 20_000]].astype(np.int32)), b.column("block").take(r), b.column("vec_id").take(r), b.column("v").take(r), pa.array(kth[r.to_numpy()])], ["shard", "block", "vec_id", "v", "kth"])
+            x, kth = shared.fixed(b, "v", np.float32, width).astype(np.float64), b.column("kth").fill_null(-np.inf).to_numpy()
+            for s in range(0, len(x), 1024):
+                q = x[s : s + 1024]
+                bound = q @ centers.T + np.linalg.norm(q, axis=1)[:, None] * radii
+                turn = np.argsort(-bound, axis=1, kind="stable")[:, lo:hi]
+                row, col = np.nonzero(np.take_along_axis(bound, turn, axis=1) + EPS >= kth[s : s + 1024, None])
+                r = pa.array(s + row)
+                yield pa.RecordBatch.from_arrays([pa.array(cells[turn[row, col]]), b.column("vec_id").take(r), b.column("v").take(r), pa.array(kth[s + row])], ["cell", "vec_id", "v", "kth"])
 
     return routes
 
 
-def _others(width: int, k: int):
-    def others(queries: pa.Table, table: pa.Table) -> pa.Table:
-        empty = pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], ["vec_id", "neighbor_id", "score"])
-        if not queries.num_rows or not table.num_rows:
-            return empty
-        ids, x = _take(table, width)
-        qids, q = _take(queries, width)
-        tree, parts = Tree(x), []
-        for s in range(0, len(q), 4096):
-            e = slice(s, s + 4096)
-            r, i, sc, _ = search(tree, x, ids, q[e], qids[e], k, shared.column(queries.combine_chunks(), "kth").to_numpy()[e])
-            parts.append((qids[e][r], i, sc))
-        return pa.table([pa.array(np.concatenate(p)) for p in zip(*parts)], ["vec_id", "neighbor_id", "score"])
+def _visit(folder: str, width: int, k: int):
+    """Queries sorted by cell -> the best of each cell; a cell is read once in a partition."""
 
-    return others
-
-
-def top_k(table: DataFrame, k: int = K, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(vec_id, rank, neighbor_id, score) of embeddings (vec_id, embedding)."""
+    @shared.released
+    def visit(batches):
+        have, ids, x, tree = None, None, None, None
+        for b in batches:
+            cell = b.column("cell").to_numpy()
+            cuts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))) if len(cell) else []
+            for s, e in zip(cuts, np.append(cuts[1:], len(cell))):
+                if cell[s] != have:
+                    have = int(cell[s])
+                    ids, x = _load(folder, have, width)
+                    tree = Tree(x)
+                for at in range(s, e, 4096):
+                    part = b.slice(at, min(4096, e - at))
+                    qids = part.column("vec_id").to_numpy()
+                    r, i, score, _ = search(tree, x, ids, shared.fixed(part, "v", np.float32, width).astype(np.float64), qids, k, part.column("kth").to_numpy())
+                    yield pa.RecordBatch.from_arrays([pa.array(qids[r]), pa.array(i), pa.array(score)], ["vec_id", "neighbor_id", "score"])
+
+    return visit
+
+
+def top_k(table: DataFrame, k: int = K, every: int = EVERY, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """(vec_id, rank, neighbor_id, score) of embeddings (vec_id, embedding) for the queries among them."""
     spark = SparkSession.active()
     rows, width = projections.vectors(table)
-    rows = rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    rows = shared.persist_shared(rows, spark)
+    rows = shared.persist_shared(rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding")), spark)
     n = rows.count()
     if not n:
         return spark.createDataFrame([], "vec_id long, rank int, neighbor_id long, score double")
+    shard_rows = max(shard_rows, -(-n // MOST_SHARDS))
     picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(-(-n // shard_rows)).toPandas()
     pivots = np.stack([np.asarray(v, np.float32) for v in picked["embedding"]])
-    blocks = -(-n // block_rows)
-    v = shared.persist_shared(rows.mapInArrow(_assign(width, pivots, blocks), "shard int, block int, vec_id long, v binary"), spark)
-    own = shared.persist_shared(v.groupBy("shard").applyInArrow(_own(width, k), FOUND), spark)
-    balls = v.groupBy("shard").applyInArrow(_ball(width), "shard int, center array<double>, radius double").toPandas()
-    shards, centers, radii = balls["shard"].to_numpy(), np.stack(balls["center"].to_numpy()), balls["radius"].to_numpy()
-    kth = own.groupBy("vec_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("kth"))
-    queries = v.join(kth, "vec_id", "left").select("shard", "block", "vec_id", "v", "kth").mapInArrow(_routes(width, shards, centers, radii), "shard int, block int, vec_id long, v binary, kth double")
-    spread = v.drop("block").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))) if blocks > 1 else v.withColumn("block", F.lit(0))
-    far = queries.groupBy("shard", "block").cogroup(spread.groupBy("shard", "block")).applyInArrow(_others(width, k), FOUND)
-    best = Window.partitionBy("vec_id").orderBy(F.desc("score"), "neighbor_id")
-    return own.unionByName(far).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("vec_id", "rank", "neighbor_id", "score")
+    v = shared.persist_shared(rows.mapInArrow(_assign(width, pivots), "shard int, vec_id long, v binary"), spark)
+    shared.forget(rows, spark)
+    sizes = v.groupBy("shard").count().toPandas().sort_values("shard")
+    parts = np.where(sizes["count"] > 2 * shard_rows, -(-sizes["count"] // shard_rows), 1)
+    first = np.cumsum(parts) - parts
+    place = spark.createDataFrame([(int(s), int(f), int(p)) for s, f, p in zip(sizes["shard"], first, parts)], "shard int, first int, parts int")
+    folder = shared.shared_dir(spark)
+    celled = v.join(F.broadcast(place), "shard").select((F.col("first") + F.pmod(F.xxhash64("vec_id"), "parts")).cast("int").alias("cell"), "vec_id", "v")  # at most MOST_SHARDS rows
+    celled.repartition("cell").write.partitionBy("cell").parquet(folder)
+    kept = spark.read.schema("vec_id long, v binary, cell int").parquet(folder)
+    cells = np.array(sorted(r.cell for r in kept.select("cell").distinct().collect()), np.int64)
+    held = spark.createDataFrame([(int(c),) for c in cells], "id long").repartition(min(len(cells), 4 * spark.sparkContext.defaultParallelism))
+    balls = held.mapInArrow(_balls(folder, width), "cell long, center array<double>, radius double").toPandas()
+    cells, centers, radii = balls["cell"].to_numpy(), np.stack(balls["center"].to_numpy()), balls["radius"].to_numpy()
+    queries = shared.persist_shared(kept.where(F.col("vec_id") % F.lit(every) == 0).select("vec_id", "v"), spark)
+    best, lo, turns = spark.createDataFrame([], FOUND), 0, 1
+    by_score = Window.partitionBy("vec_id").orderBy(F.desc("score"), "neighbor_id")
+    while lo < len(cells):
+        kth = best.groupBy("vec_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("kth"))
+        routed = queries.join(kth, "vec_id", "left").mapInArrow(_routes(width, cells, centers, radii, lo, lo + turns), "cell long, vec_id long, v binary, kth double")
+        found = routed.repartition("cell").sortWithinPartitions("cell").mapInArrow(_visit(folder, width, k), FOUND)
+        old, best = best, shared.persist_shared(best.unionByName(found).withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k).drop("rank"), spark)
+        if lo:
+            shared.forget(old, spark)
+        lo, turns = lo + turns, 2 * turns
+    return best.withColumn("rank", F.row_number().over(by_score)).select("vec_id", "rank", "neighbor_id", "score")

@@ -70,7 +70,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 TOP_K_SQL = f"""
 WITH v AS (SELECT vec_id, CAST(min(embedding) AS DOUBLE[]) AS e FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL GROUP BY vec_id),
-p AS (SELECT a.vec_id, b.vec_id AS neighbor_id, round(list_inner_product(a.e, b.e), 9) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id),
+p AS (SELECT a.vec_id, b.vec_id AS neighbor_id, round(list_inner_product(a.e, b.e), 9) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % {balltree.EVERY} = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, neighbor_id) AS INTEGER) AS rank FROM p)
 SELECT vec_id, rank, neighbor_id, score FROM r WHERE rank <= {balltree.K}
 """

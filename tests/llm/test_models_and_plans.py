@@ -331,7 +331,8 @@ ODD = [(90_001, None, 1, "s"), (90_002, [], 1, "s"), (90_003, [1.0, 2.0], 1, "s"
 
 def test_top_k_is_exact(spark):
     x = _vectors()
-    out = balltree.top_k(_table(spark, x, [*ODD, (5, [float(a) for a in x[5]], 0, "s")]), k=5, shard_rows=100, block_rows=300).collect()
+    table = _table(spark, x, [*ODD, (5, [float(a) for a in x[5]], 0, "s")])
+    out = balltree.top_k(table, k=5, every=1, shard_rows=100).collect()
     got = collections.defaultdict(list)
     for r in sorted(out, key=lambda r: r.rank):
         got[r.vec_id].append((r.neighbor_id, r.score))
@@ -342,10 +343,23 @@ def test_top_k_is_exact(spark):
         order = [i for i in np.lexsort((ids, -s[q])) if i != q][:5]
         assert got[int(ids[q])] == [(int(ids[i]), s[q, i]) for i in order]
     assert len(got) == len(z)
+    few = collections.defaultdict(list)
+    for r in sorted(balltree.top_k(table, k=5, every=7, shard_rows=300).collect(), key=lambda r: r.rank):
+        few[r.vec_id].append((r.neighbor_id, r.score))
+    assert few == {i: v for i, v in got.items() if i % 7 == 0}
+
+
+def test_top_k_with_a_hot_vector(spark):
+    """A third of the rows is one vector: its shard is dealt to parts, and ties go by id."""
+    x = np.concatenate((np.tile(np.eye(1, 8, dtype=np.float32), (200, 1)), _vectors(400, 8, 3) / 2))
+    out = collections.defaultdict(list)
+    for r in sorted(balltree.top_k(_table(spark, x), k=4, every=100, shard_rows=40).collect(), key=lambda r: r.rank):
+        out[r.vec_id].append(r.neighbor_id)
+    assert sorted(out) == [0, 100, 200, 300, 400, 500] and out[0] == [1, 2, 3, 4] and out[100] == [0, 1, 2, 3]
 
 
 def test_top_k_of_few_and_none(spark):
-    assert balltree.top_k(_table(spark, _vectors(3)), k=5).count() == 6
+    assert balltree.top_k(_table(spark, _vectors(3)), k=5, every=1).count() == 6
     assert balltree.top_k(_table(spark, [])).count() == 0
     assert balltree.top_k(_table(spark, np.ones((6, 4), np.float32)), k=2, shard_rows=2).where("rank = 1 and vec_id = 0").first().neighbor_id == 1
 
