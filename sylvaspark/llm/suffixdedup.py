@@ -4,7 +4,9 @@
 2. The word runs around the anchors that repeat are cut from the texts and sent to the anchor's shard.
 3. Each shard collapses identical runs and sorts the suffixes of the rest by induced sorting (see induced), whose bucket queues carry suffixes with
    their common-prefix lengths and spill to the shared folder. Only the queues are external: text, names, and the suffix and prefix arrays are held in
-   memory, so shards are cut to `SHARD_WORDS` words between anchors. All runs of one anchor are held at once, however many they are.
+   memory, so shards are cut to `SHARD_WORDS` words between anchors.
+   An anchor of more than `HOT` runs isn't held at one place: its windows meet by their 128-bit fingerprints (anchor and digest of all words), whose lowest and highest
+   documents are aggregated before they are shuffled.
 4. Suffixes with 50 common words or more are one passage. Its occurrences in the lowest doc_id that has it stay; the windows of all
    others are reported, joined to spans where they touch.
 
@@ -24,6 +26,8 @@ from sylvaspark.llm import induced, shared, textkit, windows
 BUDGET = 16 << 20
 #: Words of distinct runs that one suffix array takes. A longer shard is cut between anchors, which never need each other.
 SHARD_WORDS = 3 << 18
+#: Runs of an anchor up to which they are sorted in one shard.
+HOT = 10_000
 SPANS = "doc_id long, start_word long, n_words long, first_doc_id long"
 
 
@@ -39,25 +43,33 @@ def _anchors(length: int):
     return anchors
 
 
-def _cut(length: int):
+def _cut(length: int, hot: bool):
+    """Rows (doc_id, text, runs) -> the words of each run; or the windows of each run with their digests, at the anchor's key."""
+
     @shared.released
     def cut(batches):
         for b in batches:
             texts, ids, runs = b.column("text"), b.column("doc_id").to_numpy(), b.column("runs")
             for at, to in textkit.slices(texts):
                 words = textkit.Words(texts.slice(at, to - at))
-                tokens = (words.hash >> np.uint64(32)).astype(np.uint32)
                 part = runs.slice(at, to - at)
                 row = np.repeat(np.arange(to - at), np.diff(part.offsets.to_numpy()))
                 flat = part.flatten()
                 start, count, key = (flat.field(c).to_numpy() for c in ("start", "count", "key"))
                 ok = start + count + length - 1 <= words.count[row]
                 row, start, count, key = row[ok], start[ok].astype(np.int64), count[ok], key[ok]
-                size = count + length - 1
+                digest = textkit.rolling_hash(words.hash, length) if hot else None
                 for s in range(0, len(row), 4096):
                     e = slice(s, s + 4096)
-                    values = tokens[windows.ranges(words.ptr[row[e]] + start[e], size[e])]
-                    yield pa.RecordBatch.from_arrays([pa.array(key[e]), pa.array(ids[at + row[e]]), pa.array(start[e]), shared.binaries(values, np.concatenate(([0], np.cumsum(size[e]))))], ["key", "doc_id", "start", "words"])
+                    r, first, many, own = row[e], start[e], count[e], key[e]
+                    if hot:
+                        window, r, own = windows.ranges(first, many), np.repeat(r, many), np.repeat(own, many)
+                        cols = [pa.array(textkit.signed(digest[words.ptr[r] + window])), pa.array(ids[at + r]), pa.array(window)]
+                        yield pa.RecordBatch.from_arrays([pa.array(own), *cols], ["key", "digest", "doc_id", "start"])
+                    else:
+                        size = many + length - 1
+                        values = words.hash[windows.ranges(words.ptr[r] + first, size)]
+                        yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(ids[at + r]), pa.array(first), shared.binaries(values, np.concatenate(([0], np.cumsum(size))))], ["key", "doc_id", "start", "words"])
 
     return cut
 
@@ -127,7 +139,7 @@ def _shards(length: int, folder: str, budget: int, most: int):
     def shards(batches):
         d, s, runs, held = [], [], [], 0
         for g in shared.grouped(batches):
-            values, ptr = shared.ragged(g, "words", np.uint32)
+            values, ptr = shared.ragged(g, "words", np.uint64)
             d += shared.column(g, "doc_id").to_pylist()
             s += shared.column(g, "start").to_pylist()
             runs += [values[i:j] for i, j in zip(ptr[:-1].tolist(), ptr[1:].tolist())]
@@ -155,14 +167,31 @@ def _join_spans(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in (doc[new], start[new], reach[last] - base[last] - start[new], np.minimum.reduceat(first, new))], ["doc_id", "start_word", "n_words", "first_doc_id"])
 
 
-def repeated_spans(docs: DataFrame, length: int = windows.LENGTH, budget: int = BUDGET, shard_words: int = SHARD_WORDS) -> DataFrame:
+def _hot_spans(cut: DataFrame, length: int) -> DataFrame:
+    """Spans of the windows (key, digest, doc_id, start) that a lower document has as well."""
+    spark = SparkSession.active()
+    cut = shared.persist_shared(cut, spark)
+    lowest = cut.groupBy("key", "digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
+    lowest = shared.persist_shared(lowest, spark)  # a plain side of the join, so that AQE may split the other one's hot windows
+    hits = cut.join(lowest, ["key", "digest"]).where("low < doc_id")
+    return hits.select("doc_id", F.col("start").alias("start_word"), F.lit(length).cast("long").alias("n_words"), F.col("low").alias("first_doc_id")).distinct()
+
+
+def repeated_spans(docs: DataFrame, length: int = windows.LENGTH, budget: int = BUDGET, shard_words: int = SHARD_WORDS, hot: int = HOT) -> DataFrame:
     """(doc_id, start_word, n_words, first_doc_id) of documents (doc_id, text): what dedup removes."""
     spark = SparkSession.active()
     docs = shared.documents(docs, "doc_id", "text").where(F.col("doc_id").isNotNull()).withColumn("doc_id", F.col("doc_id").cast("long"))
-    anchors = docs.mapInArrow(_anchors(length), "key long, doc_id long, start int, count int")
-    same = Window.partitionBy("key")
-    anchors = anchors.select("*", F.min("doc_id").over(same).alias("low"), F.max("doc_id").over(same).alias("high")).where("low < high")
-    runs = anchors.groupBy("doc_id").agg(F.collect_list(F.struct("start", "count", "key")).alias("runs"))
-    cut = docs.join(runs, "doc_id").mapInArrow(_cut(length), "key long, doc_id long, start long, words binary")
-    shards = cut.repartition("key").sortWithinPartitions("key").mapInArrow(_shards(length, shared.shared_dir(spark), budget, shard_words), SPANS)
-    return shards.repartition("doc_id").sortWithinPartitions("doc_id").mapInArrow(_join_spans, SPANS)
+    anchors = shared.persist_shared(docs.mapInArrow(_anchors(length), "key long, doc_id long, start int, count int"), spark)
+    keys = anchors.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), (F.count("*") > hot).alias("hot")).where("low < high").select("key", "hot")
+    keys = shared.persist_shared(keys, spark)
+    anchors = anchors.join(keys, "key")
+
+    def cut(part: DataFrame, of_hot: bool, schema: str) -> DataFrame:
+        runs = part.groupBy("doc_id").agg(F.collect_list(F.struct("start", "count", "key")).alias("runs"))
+        return docs.join(runs, "doc_id").mapInArrow(_cut(length, of_hot), schema)
+
+    shards = cut(anchors.where("not hot"), False, "key long, doc_id long, start long, words binary")
+    spans = shards.repartition("key").sortWithinPartitions("key").mapInArrow(_shards(length, shared.shared_dir(spark), budget, shard_words), SPANS)
+    if not keys.where("hot").isEmpty():
+        spans = spans.unionByName(_hot_spans(cut(anchors.where("hot"), True, "key long, digest long, doc_id long, start long"), length))
+    return spans.repartition("doc_id").sortWithinPartitions("doc_id").mapInArrow(_join_spans, SPANS)

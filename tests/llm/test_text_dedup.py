@@ -199,6 +199,17 @@ def test_suffix_array_dedup_in_small_shards(spark):
     assert span_cover(suffixdedup.repeated_spans(frame(spark, rows), budget=2000, shard_words=300).collect()) == covered(rows)
 
 
+def test_suffix_array_dedup_of_a_hot_passage(spark):
+    """A passage that every document has, and a text that a third of them is: anchors beyond `hot` runs give the same spans."""
+    rng = np.random.default_rng(1)
+    passage = " ".join(f"p{i}" for i in range(70))
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 2000, 40)) + f" {passage} " + " ".join(f"w{x}" for x in rng.integers(0, 2000, 30))) for i in range(60)]
+    rows += [(100 + i, " ".join(f"c{j}" for j in range(90))) for i in range(40)] + [(100, " ".join(f"c{j}" for j in range(90))), (None, passage), (200, None)]
+    want = covered(rows)
+    for hot in (20, 1000):
+        assert span_cover(suffixdedup.repeated_spans(frame(spark, rows), hot=hot).collect()) == want
+
+
 def test_fingerprint_index_against_brute_force(spark):
     rows = corpus(7, 80)
     assert span_cover(fingerprints.incremental_spans(frame(spark, rows)).collect()) == covered(rows)
