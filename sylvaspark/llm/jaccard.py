@@ -6,9 +6,10 @@ Two documents are linked when the Jaccard index of their sets of word n-grams re
 2. N-grams have one order for all documents, from rare to frequent, by counts over all documents. Sets at the threshold share one of their first
    |set| - ceil(threshold |set|) + 1 n-grams; only those are sent to buckets by hash. Two sets that meet are candidates unless their sizes or the places of the
    shared n-gram rule the threshold out.
-3. Candidates that share their lowest partner are dealt to cells of about `BLOCK` sets, and the sets of each two cells that hold a candidate meet.
-4. There the sets form a signature tree, whose nodes hold the OR of token bitmaps with the ranges of set sizes and bit counts; a dual traversal drops the node pairs
-   whose largest possible overlap is too small. What is left is verified on the whole sets of 64-bit n-grams.
+3. Candidates that share their lowest partner are dealt to cells of about `BLOCK` sets, and the bitmaps of each two cells that hold a candidate meet.
+4. There they form signature trees, whose nodes hold the OR of token bitmaps with the ranges of set sizes and bit counts; a dual traversal drops the node pairs
+   whose largest possible overlap is too small. Bitmaps have about four bits for each n-gram, and are folded to the narrowest of those that a tree compares.
+5. The sets that are left meet by the same cells and are verified whole, by 64-bit n-grams.
 
 `classes` gives one row per document, so neither the result nor any table of links grows with the square of a group: two cells give each set its number of links and
 the lowest document it hangs together with. `jaccard_join` lists the pairs of representatives.
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from sylvaspark.llm import components, shared, textkit
 
-N, THRESHOLD, WORDS64 = 2, 0.5, 8
+N, THRESHOLD, WORDS64, NARROW, WIDE = 2, 0.5, 8, 7, 16
 LEAF, FANOUT, BLOCK = 16, 8, 128
 OFTEN, OFTEN_WORD, KNOWN = 3, 8, 1 << 17
 BUCKET_BYTES, POSTING_BYTES, HELD = 12 << 20, 14, 1 << 21
@@ -62,16 +63,27 @@ def _set_ids(g: np.ndarray, ptr: np.ndarray) -> np.ndarray:
     return out
 
 
+def _signatures(g: np.ndarray, ptr: np.ndarray) -> pa.Array:
+    """Bitmaps of 2^k bits, four times the size of the set at least where that is within NARROW and WIDE."""
+    size = np.diff(ptr)
+    bits = np.int64(1) << np.clip(np.ceil(np.log2(np.maximum(4 * size, 1))), NARROW, WIDE).astype(np.int64)
+    base = np.concatenate(([0], np.cumsum(bits)))
+    flags = np.zeros(base[-1], np.uint8)
+    flags[np.repeat(base[:-1], size) + ((g >> np.uint64(20)).astype(np.int64) & np.repeat(bits - 1, size))] = 1
+    return shared.binaries(np.packbits(flags, bitorder="little"), base // 8)
+
+
 def _frequent(keys: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     u, n = np.unique(keys, return_counts=True)
     return u[n >= least], n[n >= least]
 
 
 def _records(n: int):
-    """Rows of three kinds: (DOCUMENT, doc_id, set id, size), (WORD, hash, null, count) and (GRAM, hash, null, documents of the slice)."""
+    """Rows of three kinds: (DOCUMENT, doc_id, set id, size, bitmap), (WORD, hash, null, count, null) and (GRAM, hash, null, documents of the slice, null)."""
 
-    def rows(kind: int, a, b, n):
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int8)), a, b, pa.array(n.astype(np.int32))], ["kind", "a", "b", "n"])
+    def rows(kind: int, a, b, n, sig=None):
+        sig = pa.nulls(len(n), pa.binary()) if sig is None else sig
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int8)), a, b, pa.array(n.astype(np.int32)), sig], ["kind", "a", "b", "n", "sig"])
 
     @shared.released
     def records(batches):
@@ -80,7 +92,7 @@ def _records(n: int):
             for at, to in textkit.slices(texts):
                 words = textkit.Words(texts.slice(at, to - at))
                 g, ptr = _unique_sets(*textkit.grams(words, n))
-                yield rows(DOCUMENT, ids.slice(at, to - at), pa.array(_set_ids(g, ptr)), np.diff(ptr))
+                yield rows(DOCUMENT, ids.slice(at, to - at), pa.array(_set_ids(g, ptr)), np.diff(ptr), _signatures(g, ptr))
                 for kind, keys, least in ((WORD, words.hash, OFTEN_WORD), (GRAM, g, OFTEN)):
                     u, count = _frequent(keys, least)
                     yield rows(kind, pa.array(textkit.signed(u)), pa.nulls(len(u), pa.int64()), count)
@@ -247,9 +259,10 @@ def tree_pairs(size: np.ndarray, sig: np.ndarray, t: float) -> tuple[np.ndarray,
         lo, hi, least, bits = levels[depth - 1]
         step = np.arange(fan)
         found = []
-        for s in range(0, len(a), 1 << 10):  # bounded memory
-            x = np.repeat(a[s : s + (1 << 10), None] * fan + step, fan, axis=1).reshape(-1)
-            y = np.tile(b[s : s + (1 << 10), None] * fan + step, (1, fan)).reshape(-1)
+        nodes = max(1, (1 << 21) // (fan * fan * bits.shape[1]))  # bounded memory
+        for s in range(0, len(a), nodes):
+            x = np.repeat(a[s : s + nodes, None] * fan + step, fan, axis=1).reshape(-1)
+            y = np.tile(b[s : s + nodes, None] * fan + step, (1, fan)).reshape(-1)
             ok = (x <= y if depth > 1 else x < y) & (x < len(lo)) & (y < len(lo))
             x, y = x[ok], y[ok]
             ok = (hi[x] >= t * lo[y]) & (hi[y] >= t * lo[x])
@@ -261,6 +274,41 @@ def tree_pairs(size: np.ndarray, sig: np.ndarray, t: float) -> tuple[np.ndarray,
     return (order[a], order[b]) if len(levels) > 1 else (a[:0], b[:0])
 
 
+def _prune(t: float):
+    """Of the bitmaps of each two cells, rows (key, sid, cell) of those that may have a partner."""
+    apart = int(np.ceil(np.log2(1 / t) - EPS))  # sets at the threshold have widths that many steps apart at most
+
+    def of_key(sid, cell, size, rows, sigs):
+        width = np.array([len(sigs[r]) for r in rows])
+        hit = np.zeros(len(sid), bool)
+        for w in np.unique(width):
+            some = np.flatnonzero((width >= w) & (width <= w << apart))
+            if len(some) < 2:
+                continue
+            sig = np.stack([np.bitwise_or.reduce(sigs[rows[i]].reshape(-1, w), axis=0) for i in some]).view(np.uint64)
+            x, y = tree_pairs(size[some], sig, t)
+            x, y = some[x], some[y]
+            ok = (np.minimum(width[x], width[y]) == w) & ((cell[x] != cell[y]) | (cell.min() == cell.max()))
+            hit[x[ok]] = hit[y[ok]] = True
+        return np.flatnonzero(hit)
+
+    @shared.released
+    def prune(batches):
+        for g in shared.grouped(batches):
+            key, sid, cell, size = (shared.column(g, c).to_numpy() for c in ("key", "sid", "cell", "size"))
+            raw, ptr = shared.ragged(g, "sig", np.uint8)
+            sigs = [raw[i:j] for i, j in zip(ptr[:-1].tolist(), ptr[1:].tolist())]
+            starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            for s, e in zip(starts, np.append(starts[1:], len(key))):
+                _, first = np.unique(sid[s:e], return_index=True)
+                first += s
+                keep = first[of_key(sid[first], cell[first], size[first].astype(np.int64), first, sigs)]
+                if len(keep):
+                    yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (key, sid, cell)], ["key", "sid", "cell"])
+
+    return prune
+
+
 def _sets(n: int):
     """The sets asked for, once for each pair of cells: rows (doc_id, text, wanted) -> (key, sid, cell, rep, copies, grams)."""
 
@@ -359,7 +407,7 @@ def _joined(docs: DataFrame, n: int, t: float, pairs: bool) -> tuple[DataFrame,
     spark = SparkSession.active()
     docs = shared.documents(docs, "doc_id", "text").where(F.col("doc_id").isNotNull())
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    records = shared.persist_shared(docs.mapInArrow(_records(n), "kind byte, a long, b long, n int"), spark)
+    records = shared.persist_shared(docs.mapInArrow(_records(n), "kind byte, a long, b long, n int, sig binary"), spark)
     counts = records.where(F.col("kind") != DOCUMENT).groupBy("kind", "a").agg(F.sum("n").alias("n"))
     documents = records.where(F.col("kind") == DOCUMENT)
     total, grams = documents.agg(F.count("*"), F.sum("n")).first()
@@ -379,7 +427,10 @@ def _joined(docs: DataFrame, n: int, t: float, pairs: bool) -> tuple[DataFrame,
     ends = found.join(cells.select(F.col("sid").alias("a"), F.col("cell").alias("cell_a")), "a").join(cells.select(F.col("sid").alias("b"), F.col("cell").alias("cell_b")), "b")
     ends = ends.withColumn("key", F.xxhash64(F.least("cell_a", "cell_b"), F.greatest("cell_a", "cell_b")))
     wanted = ends.select("key", F.inline(F.array(F.struct(F.col("a").alias("sid"), F.col("cell_a").alias("cell")), F.struct(F.col("b").alias("sid"), F.col("cell_b").alias("cell"))))).distinct()
-    wanted = wanted.join(sets, "sid").groupBy(F.col("rep").alias("doc_id")).agg(F.collect_list(F.struct("key", "sid", "cell", "copies")).alias("wanted"))
+    bitmaps = documents.select(F.col("a").alias("rep"), F.col("b").alias("sid"), F.col("n").alias("size"), "sig")
+    met = wanted.join(sets.drop("copies"), "sid").join(bitmaps, ["rep", "sid"]).select("key", "sid", "cell", "size", "sig")
+    left = met.repartition("key").sortWithinPartitions("key").mapInArrow(_prune(t), "key long, sid long, cell long")
+    wanted = left.join(sets, "sid").groupBy(F.col("rep").alias("doc_id")).agg(F.collect_list(F.struct("key", "sid", "cell", "copies")).alias("wanted"))
     met = docs.join(wanted, "doc_id").select("doc_id", "text", "wanted").mapInArrow(_sets(n), "key long, sid long, cell long, rep long, copies long, grams binary")
     schema = "doc_a long, doc_b long, jaccard double" if pairs else "sid long, rep long, links long, root long"
     return members.join(sets, "sid", "left"), met.repartition("key").sortWithinPartitions("key").mapInArrow(_verify(t, pairs), schema)

@@ -3,7 +3,8 @@
 A document of more than `capacity` tokens is cut into full bins and one remaining piece. Pieces above one third of the capacity are large; a bin
 takes two of them at most: from the largest on, each is matched with the largest unmatched one that still fits. Smaller pieces, from
 the largest on, go to the bin with the least room that holds them. Documents are packed in groups of about
-`group_tokens` tokens, by a hash of doc_id, each group on its own; a group has a bin at most that is filled for want of pieces.
+`group_tokens` tokens, by a hash of doc_id, each group on its own; a group has a bin at most that is filled for want of pieces. Rows that share an id (or have none) are
+spread over the groups as well, and numbered by parts, so that an id that a third of all rows have makes no group larger.
 
 Defined results
 - Tokens are runs of non-blank characters; documents without one (null and empty texts among them) are in no bin.
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from sylvaspark.llm import mixing, shared
 
-CAPACITY, GROUP_TOKENS = 2048, 1 << 22
+CAPACITY, GROUP_TOKENS, PARTS = 2048, 1 << 22, 1024
 SCHEMA = "bin_id string, doc_id long, copy_no long, piece_no long, start long, n_tokens long"
 
 
@@ -104,14 +105,28 @@ def _packing(capacity: int):
     return packing
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows (doc_id, n_tokens, salt) with copy_no: 0, 1, ... for the rows of one doc_id, by parts of at most about a PARTS-th of them."""
+    part = F.pmod(F.xxhash64("salt"), F.lit(PARTS)).cast("int")
+    counts = rows.groupBy("doc_id").agg(F.count("*").alias("rows"))
+    several = counts.where("rows > 1").select(F.col("doc_id").alias("id"))
+    by_part = Window.partitionBy("doc_id").orderBy("part")
+    sizes = rows.join(several, rows["doc_id"].eqNullSafe(several["id"]), "left_semi").groupBy("doc_id", part.alias("part")).agg(F.count("*").alias("n"))
+    sizes = sizes.withColumn("first", F.sum("n").over(by_part) - F.col("n"))
+    sizes = sizes.select(F.col("doc_id").alias("id"), F.col("part").alias("of_part"), "first")
+    rows = rows.withColumn("part", part)
+    joined = rows.join(sizes, rows["doc_id"].eqNullSafe(sizes["id"]) & (rows["part"] == sizes["of_part"]), "left")
+    within = F.row_number().over(Window.partitionBy("doc_id", "part").orderBy("n_tokens", "salt"))
+    return joined.withColumn("copy_no", F.when(F.col("first").isNull(), F.lit(0)).otherwise(F.col("first") + within - 1).cast("long"))
+
+
 def packed(docs: DataFrame, capacity: int = CAPACITY, group_tokens: int = GROUP_TOKENS) -> DataFrame:
     """(bin_id, doc_id, copy_no, piece_no, start, n_tokens) of documents (doc_id, text)."""
     spark = SparkSession.active()
     rows = shared.documents(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), mixing.tokens().alias("n_tokens")).where("n_tokens > 0")
-    rows = shared.persist_shared(rows, spark)
+    rows = shared.persist_shared(rows.withColumn("salt", F.monotonically_increasing_id()), spark)  # written, so that a row keeps its number
     total = rows.agg(F.sum("n_tokens")).first()[0] or 0
     groups = max(1, -(-total // group_tokens))
-    copy = Window.partitionBy("group", "doc_id").orderBy("n_tokens")
-    rows = rows.withColumn("group", F.pmod(F.xxhash64("doc_id"), F.lit(groups))).repartition(min(groups, 100_000), "group").withColumn("copy_no", F.row_number().over(copy).cast("long") - 1)
-    rows = rows.select("group", "doc_id", "copy_no", "n_tokens").sortWithinPartitions("group", "doc_id", "copy_no")
+    rows = _numbered(rows).withColumn("group", F.pmod(F.xxhash64("doc_id", "copy_no"), F.lit(groups)))
+    rows = rows.select("group", "doc_id", "copy_no", "n_tokens").repartition(min(groups, 100_000), "group").sortWithinPartitions("group", "doc_id", "copy_no")
     return rows.mapInArrow(_packing(capacity), SCHEMA)

@@ -2,7 +2,8 @@
 
 The directory is indexed by the leading bits of a 32-bit hash of doc_id. A bucket over the byte limit splits on its next bit, and only that one;
 so shards have different depths, and each ends with the first depth at which it fits. Bytes are summed on the cluster by 16 leading
-bits, and again with 8 bits more only for the cells that are too large still; the driver holds the directory's leaves.
+bits, and again with 8 bits more only for the cells that are too large still. The directory is a table: each cell has the shard that it belongs to, and rows meet it by
+their cell; the driver holds none of it.
 
 Defined results
 - The size of a row is the bytes of its text in UTF-8; null and empty texts have 0.
@@ -11,7 +12,6 @@ Defined results
   empty table gives no rows.
 """
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,20 +28,16 @@ def _prefix(depth: int) -> "F.Column":
     return F.shiftright("h", BITS - depth)
 
 
-def leaves(cells: np.ndarray, have: int, start: int, limit: int) -> tuple[list, np.ndarray]:
-    """Splits buckets of depth `start`, given cells (prefix at depth `have`, bytes, least and largest hash): (leaves as (depth, prefix, bytes), cells
-    at depth `have` that have to split further)."""
-    out, live = [], cells
-    for d in range(start, have + 1):
-        if not len(live):
-            break
-        key = live[:, 0] >> (have - d)
-        at = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        total, low, high = np.add.reduceat(live[:, 1], at), np.minimum.reduceat(live[:, 2], at), np.maximum.reduceat(live[:, 3], at)
-        done = (total <= limit) | (low == high)
-        out += [(d, int(k), int(b)) for k, b, x in zip(key[at], total, done) if x]
-        live = live[~np.repeat(done, np.diff(np.append(at, len(live))))]
-    return out, live
+def directory(cells: DataFrame, start: int, have: int, limit: int) -> DataFrame:
+    """(cell, shard_depth, shard_prefix, shard_bytes) of cells (cell, bytes, low, high) of `have` bits: the first depth from `start` on at which the bucket that holds
+    the cell fits or has one hash only; null where even the cell is too large."""
+    depth = F.explode(F.sequence(F.lit(start), F.lit(have))).alias("depth")
+    each = cells.select("cell", "bytes", "low", "high", depth).withColumn("prefix", F.expr(f"shiftright(cell, {have} - depth)"))
+    buckets = each.groupBy("depth", "prefix").agg(F.sum("bytes").alias("total"), F.min("low").alias("least"), F.max("high").alias("most"))
+    buckets = buckets.where((F.col("total") <= limit) | (F.col("least") == F.col("most")))
+    first = each.join(buckets, ["depth", "prefix"]).groupBy("cell").agg(F.min_by(F.struct("depth", "prefix", "total"), "depth").alias("leaf"))
+    own = cells.select("cell").join(first, "cell", "left")
+    return own.select("cell", F.col("leaf.depth").alias("shard_depth"), F.col("leaf.prefix").alias("shard_prefix"), F.col("leaf.total").alias("shard_bytes"))
 
 
 def sharded(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
@@ -49,18 +45,16 @@ def sharded(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
     spark = SparkSession.active()
     rows = shared.documents(docs, "doc_id", "text").select("doc_id", hash32().alias("h"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     rows = shared.persist_shared(rows, spark)
-    directory, start, open_cells = [], 0, None
+    names = ["doc_id", "n_bytes", "shard_depth", "shard_prefix", "shard_bytes"]
+    out, start = None, 0
     for have in (16, 24, 32):
-        part = rows.withColumn("c", _prefix(have))
-        if open_cells is not None:
-            part = part.join(spark.createDataFrame([(int(c),) for c in open_cells], "p long"), F.shiftright("c", 8) == F.col("p"), "left_semi")
-        cells = part.groupBy("c").agg(F.sum("n_bytes").alias("n"), F.min("h").alias("low"), F.max("h").alias("high")).toPandas()
-        found, left = leaves(cells.sort_values("c").to_numpy(np.int64).reshape(-1, 4), have, start, limit)
-        directory += found
-        if not len(left):
+        part = rows.withColumn("cell", _prefix(have))
+        cells = part.groupBy("cell").agg(F.sum("n_bytes").alias("bytes"), F.min("h").alias("low"), F.max("h").alias("high"))
+        found = shared.persist_shared(directory(cells, start, have, limit), spark)
+        rows = part.join(found, "cell").drop("cell")
+        done = rows.where("shard_depth is not null").select(*names)
+        out = done if out is None else out.unionByName(done)
+        if found.where("shard_depth is null").isEmpty():
             break
-        start, open_cells = have + 1, left[:, 0]
-    table = spark.createDataFrame(directory or [(0, 0, 0)], "shard_depth int, shard_prefix long, shard_bytes long")
-    depths = sorted({d for d, _, _ in directory}) or [0]
-    keys = F.array(*[F.struct(F.lit(d).alias("shard_depth"), _prefix(d).alias("shard_prefix")) for d in depths])
-    return rows.select("doc_id", "n_bytes", F.inline(keys)).join(table, ["shard_depth", "shard_prefix"]).select("doc_id", "n_bytes", "shard_depth", "shard_prefix", "shard_bytes")
+        start, rows = have + 1, rows.where("shard_depth is null").select("doc_id", "h", "n_bytes")
+    return out

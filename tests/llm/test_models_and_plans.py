@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from sylvaspark.llm import apply, balltree, classlm, mixing, packing, projections, sharding, textkit, toxicity
 from tests.llm.common import corpus, frame, vocabulary, words
@@ -210,12 +211,20 @@ def test_sharding_by_force(spark):
     assert sharding.sharded(frame(spark, [])).count() == 0
 
 
-def test_deep_cells_split_beyond_the_first_bits():
-    cells = np.array([[5, 900, 5 << 16, (5 << 16) + 9]])
-    done, left = sharding.leaves(cells, 16, 0, 100)
-    assert not done and left.tolist() == cells.tolist()
-    done, left = sharding.leaves(np.array([[5 << 8, 900, 5 << 16, 5 << 16], [(5 << 8) + 1, 10, 9, 10]]), 24, 17, 100)
-    assert done == [(24, 5 << 8, 900), (24, (5 << 8) + 1, 10)] and not len(left)
+def test_deep_cells_split_beyond_the_first_bits(spark):
+    cell = lambda rows: spark.createDataFrame(rows, "cell long, bytes long, low long, high long")
+    of = lambda *a: {r.cell: (r.shard_depth, r.shard_prefix, r.shard_bytes) for r in sharding.directory(*a).collect()}
+    assert of(cell([(5, 900, 5 << 16, (5 << 16) + 9)]), 0, 16, 100) == {5: (None, None, None)}
+    got = of(cell([(5 << 8, 900, 5 << 16, 5 << 16), ((5 << 8) + 1, 10, 9, 10), ((5 << 8) + 128, 60, 1, 2), ((5 << 8) + 129, 30, 3, 4)]), 17, 24, 100)
+    assert got == {5 << 8: (24, 5 << 8, 900), (5 << 8) + 1: (24, (5 << 8) + 1, 10), (5 << 8) + 128: (17, 11, 90), (5 << 8) + 129: (17, 11, 90)}
+
+
+def test_sharding_below_the_first_cells(spark, monkeypatch):
+    """Hashes that share their first 20 bits split in the second pass."""
+    monkeypatch.setattr(sharding, "hash32", lambda: (F.lit(77 << 24) + F.col("doc_id") * 64).cast("long"))
+    rows = [(i, "x" * 10) for i in range(64)]
+    out = sharding.sharded(frame(spark, rows), limit=100).collect()
+    assert len(out) == 64 and {r.shard_depth for r in out} == {23} and {r.shard_bytes for r in out} == {80}
 
 
 # ---- mixing
@@ -311,6 +320,19 @@ def test_packing_places_every_token(spark):
     assert packing.packed(frame(spark, [])).count() == 0 and packing.packed(frame(spark, [(1, None), (2, " ")])).count() == 0
 
 
+def test_packing_spreads_the_copies_of_an_id(spark):
+    """A third of the rows has one id and a third none: the groups stay near their size, and all copies have numbers of their own."""
+    rows = [(7, "w " * 30)] * 300 + [(None, "w " * 25)] * 300 + [(i, "w " * 20) for i in range(100, 400)]
+    out = packing.packed(frame(spark, rows), capacity=100, group_tokens=2000).collect()
+    copies = collections.defaultdict(list)
+    groups = collections.Counter()
+    for r in out:
+        copies[r.doc_id].append(r.copy_no)
+        groups[r.bin_id.split("-")[0]] += r.n_tokens
+    assert sorted(copies[7]) == sorted(copies[None]) == list(range(300)) and all(copies[i] == [0] for i in range(100, 400))
+    assert sum(groups.values()) == 300 * 75 and max(groups.values()) < 4000 and len(groups) >= 10
+
+
 # ---- vectors
 def _vectors(n=700, d=16, seed=0):
     rng = np.random.default_rng(seed)
