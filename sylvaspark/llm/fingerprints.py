@@ -1,7 +1,8 @@
 """Operator 8, substring dedup: a log-structured index of window fingerprints.
 
 The index is a set of immutable runs in the shared folder. Each run is split into buckets by anchor hash, and each bucket file holds rows sorted
-by anchor hash: the document, and the digests of the windows that have this anchor (see windows). A new batch is sorted the same way;
+by anchor hash: the document, and the digests of the windows that have this anchor (see windows). A manifest beside the runs names those that count, so a later job
+opens the index where an earlier one left it, and files of a batch that failed are never read. A new batch is sorted the same way;
 each bucket merge-joins it with the runs' files by anchor hash, verifies the windows by digest, reports those seen before, and writes
 the unseen ones as the next run. When `fanout` runs of about one size are there, they are compacted into one.
 
@@ -15,6 +16,7 @@ Windows are equal when 128 bits (64 of the anchor, 64 of the digest) are. A lost
 are written aside and moved into place.
 """
 
+import json
 import uuid
 
 import numpy as np
@@ -146,16 +148,35 @@ def _compact(folder: str, runs: list[str], run: str):
 
 
 class FingerprintIndex:
-    """add(batch) -> spans of the batch that were seen before. `buckets` is fixed at the start; the index takes up to twice the bytes of the texts."""
-
-    def __init__(self, spark: SparkSession, folder: str, buckets: int, length: int = windows.LENGTH, fanout: int = FANOUT):
-        self.spark, self.folder, self.buckets, self.length, self.fanout = spark, folder, buckets, length, fanout
-        self.runs: list[tuple[str, int]] = []  # oldest first, with the level: the number of compactions behind it
-        self.made = 0
+    """add(batch) -> spans of the batch that were seen before. The folder is the index: where it holds a manifest, the index goes on with the runs, buckets and length
+    that it names. `buckets` is fixed at the start; the index takes up to twice the bytes of the texts."""
+
+    def __init__(self, spark: SparkSession, folder: str, buckets: int = 64, length: int = windows.LENGTH, fanout: int = FANOUT):
+        self.spark, self.folder, self.fanout = spark, folder, fanout
+        kept = self._manifest()
+        self.buckets, self.length = kept.get("buckets", buckets), kept.get("length", length)
+        self.made: int = kept.get("made", 0)
+        self.runs: list[tuple[str, int]] = [tuple(r) for r in kept.get("runs", [])]  # oldest first, with the level: the number of compactions behind it
+
+    def _manifest(self) -> dict:
+        fs, root = pafs.FileSystem.from_uri(self.folder)
+        if fs.get_file_info(f"{root}/manifest.json").type == pafs.FileType.NotFound:
+            return {}
+        with fs.open_input_stream(f"{root}/manifest.json") as f:
+            return json.loads(f.read())
+
+    def _commit(self) -> None:
+        """Puts the runs that count in the manifest, at once: written aside and moved."""
+        fs, root = pafs.FileSystem.from_uri(self.folder)
+        fs.create_dir(root, recursive=True)
+        aside = f"{root}/manifest-{uuid.uuid4().hex}.part"
+        with fs.open_output_stream(aside) as f:
+            f.write(json.dumps({"buckets": self.buckets, "length": self.length, "made": self.made, "runs": self.runs}).encode())
+        fs.move(aside, f"{root}/manifest.json")
 
     def _name(self) -> str:
         self.made += 1
-        return f"run-{self.made:06d}"
+        return f"run-{self.made:06d}-{uuid.uuid4().hex[:8]}"
 
     def add(self, docs: DataFrame) -> DataFrame:
         docs = shared.documents(docs, "doc_id", "text").where(F.col("doc_id").isNotNull()).withColumn("doc_id", F.col("doc_id").cast("long"))
@@ -166,22 +187,24 @@ class FingerprintIndex:
         merged = merged.repartition("doc_id").sortWithinPartitions("doc_id").mapInArrow(suffixdedup._join_spans, suffixdedup.SPANS)
         out = shared.persist_shared(merged, self.spark)
         self.runs.append((run, 0))
+        self._commit()
         while len(self.runs) >= self.fanout and len({level for _, level in self.runs[-self.fanout :]}) == 1:
             old = self.runs[-self.fanout :]
             new = self._name()
             self.spark.range(0, self.buckets, 1, self.buckets).mapInArrow(_compact(self.folder, [r for r, _ in old], new), "id long").write.format("noop").mode("overwrite").save()
             self.runs[-self.fanout :] = [(new, old[0][1] + 1)]
+            self._commit()
             for r, _ in old:
                 self._drop(r)
         return out
 
     def _drop(self, run: str) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{run}")
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{run}".rstrip("/"))
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
-    def close(self) -> None:
-        for r, _ in self.runs:
-            self._drop(r)
+    def drop(self) -> None:
+        """Deletes the index."""
+        self._drop("")
 
 
 def incremental_spans(docs: DataFrame, batches: int = 4, length: int = windows.LENGTH) -> DataFrame:
@@ -198,5 +221,5 @@ def incremental_spans(docs: DataFrame, batches: int = 4, length: int = windows.L
         lo = low + k * step
         found = index.add(ids.where((F.col("doc_id") >= lo) & (F.col("doc_id") < lo + step)))
         out = found if out is None else out.unionByName(found)
-    index.close()
+    index.drop()
     return out

@@ -217,9 +217,10 @@ def test_fingerprint_index_against_brute_force(spark):
 
 def test_fingerprint_index_batches_and_compaction(spark):
     rows = [r for r in corpus(8, 60) if r[0] is not None]
-    index = fingerprints.FingerprintIndex(spark, shared.shared_dir(spark), 3, fanout=2)
+    folder = shared.shared_dir(spark)
     got = set()
     for k in range(4):
+        index = fingerprints.FingerprintIndex(spark, folder, 3, fanout=2)  # opened again for each batch, as by a later job
         got |= span_cover(index.add(frame(spark, rows[k::4])).collect())
     assert len(index.runs) < 4
     words_of = dict(rows)
@@ -233,7 +234,9 @@ def test_fingerprint_index_batches_and_compaction(spark):
                 want |= {(i, c) for c in range(j, j + 50)}
     assert got == want
     assert index.add(frame(spark, rows[0::4])).count() >= 0
-    index.close()
+    assert fingerprints.FingerprintIndex(spark, folder, 99, length=7).buckets == 3 and fingerprints.FingerprintIndex(spark, folder).length == 50
+    index.drop()
+    assert fingerprints.FingerprintIndex(spark, folder, 9).runs == []
 
 
 @pytest.mark.parametrize("operator", [jaccard.jaccard_join, suffixdedup.repeated_spans, fingerprints.incremental_spans])
