@@ -3,9 +3,9 @@
 Two documents are linked when the Jaccard index of their sets of word n-grams reaches `threshold`. The search is exact:
 
 1. Documents with equal sets are one set (its 128-bit sums are equal), with the number of its copies; the lowest id stands for it.
-2. N-grams have one order for all documents, from rare to frequent, by counts over all documents. Sets at the threshold share one of their first
-   |set| - ceil(threshold |set|) + 1 n-grams; only those are sent to buckets by hash. Two sets that meet are candidates unless their sizes or the places of the
-   shared n-gram rule the threshold out.
+2. N-grams have one order for all documents, from rare to frequent, by counts over all documents. Two sets that must share `need` n-grams to reach the threshold share k of
+   their first |set| - need + k, for any k; k is 1 + need / 20. Only so many n-grams of each set are sent to buckets by hash. There the shared ones are counted for each
+   two sets whose sizes don't rule the threshold out, and two sets with k are candidates.
 3. Candidates that share their lowest partner are dealt to cells of about `BLOCK` sets, and the bitmaps of each two cells that hold a candidate meet.
 4. There they form signature trees, whose nodes hold the OR of token bitmaps with the ranges of set sizes and bit counts; a dual traversal drops the node pairs
    whose largest possible overlap is too small. Bitmaps have about four bits for each n-gram, and are folded to the narrowest of those that a tree compares.
@@ -33,8 +33,8 @@ from sylvaspark.llm import components, shared, textkit
 
 N, THRESHOLD, WORDS64, NARROW, WIDE = 2, 0.5, 8, 7, 16
 LEAF, FANOUT, BLOCK = 16, 8, 128
-OFTEN, OFTEN_WORD, KNOWN = 3, 8, 1 << 17
-BUCKET_BYTES, POSTING_BYTES, HELD = 12 << 20, 14, 1 << 21
+OFTEN, OFTEN_WORD, KNOWN = 3, 8, 1 << 18
+BUCKET_BYTES, POSTING_BYTES, HELD, EACH = 20 << 20, 12, 1 << 21, 20
 DOCUMENT, WORD, GRAM = 0, 1, 2
 EPS = 1e-9
 
@@ -150,7 +150,8 @@ def _prefixes(n: int, t: float, known: dict, buckets: int):
                 one = one[size[one] > 0]
                 if not len(one):
                     continue
-                many = size[one] - np.ceil(t * size[one] - EPS).astype(np.int64) + 1
+                least = np.ceil(t * size[one] - EPS).astype(np.int64)  # shared with the smallest partner
+                many = size[one] - least + 1 + least // EACH
                 place = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
                 row = np.repeat(np.arange(len(one)), many)
                 key = g[np.repeat(ptr[:-1][one], many) + place]
@@ -168,24 +169,35 @@ def _prefixes(n: int, t: float, known: dict, buckets: int):
     return prefixes
 
 
-def _may_match(size_a, size_b, place_a, place_b, t: float) -> np.ndarray:
-    """Whether sets of those sizes that share the n-grams at those places, and none before, may reach the threshold."""
-    need = np.ceil(t / (1 + t) * (size_a + size_b) - EPS)
-    return (np.minimum(size_a, size_b) >= t * np.maximum(size_a, size_b) - EPS) & (np.minimum(size_a - place_a, size_b - place_b) >= need)
+def _needed(size_a, size_b, t: float) -> np.ndarray:
+    return np.ceil(t / (1 + t) * (size_a + size_b) - EPS).astype(np.int64)
+
+
+def _counts(size_a, size_b, place_a, place_b, t: float) -> np.ndarray:
+    """Whether n-grams that sets of those sizes share at those places count: they may be among the first k that they share."""
+    need = _needed(size_a, size_b, t)
+    fits = np.minimum(size_a, size_b) >= t * np.maximum(size_a, size_b) - EPS
+    return fits & (np.minimum(size_a - place_a, size_b - place_b) >= need - need // EACH)
 
 
 def _candidates(t: float):
-    """Pairs of set ids that share an n-gram of a bucket; repeated ones may come from other buckets."""
+    """(a, b, size_a, size_b, n): the n-grams of some buckets that two sets share and that count."""
+
+    def summed(parts: list) -> tuple[np.ndarray, np.ndarray]:
+        u, k = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        return u, np.bincount(k, np.concatenate([p[1] for p in parts]), len(u)).astype(np.int64)
 
-    def emit(codes: np.ndarray, ids: np.ndarray):
+    def emit(parts: list, ids: np.ndarray, sizes: np.ndarray):
+        codes, n = summed(parts)
         for s in range(0, len(codes), 1 << 18):
-            c = codes[s : s + (1 << 18)]
-            yield pa.RecordBatch.from_arrays([pa.array(ids[c // len(ids)]), pa.array(ids[c % len(ids)])], ["a", "b"])
+            a, b = np.divmod(codes[s : s + (1 << 18)], len(ids))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[a], ids[b], sizes[a], sizes[b], n[s : s + (1 << 18)].astype(np.int32))], ["a", "b", "size_a", "size_b", "n"])
 
     def of_bucket(g):
         key, sid, size, count = (shared.ragged(g, c, d)[0] for c, d in (("keys", np.uint64), ("sids", np.int64), ("sizes", np.int32), ("counts", np.int32)))
         place = shared.ragged(g, "places", np.uint16)[0]
-        ids, sid = np.unique(sid, return_inverse=True)
+        ids, first, sid = np.unique(sid, return_index=True, return_inverse=True)
+        sizes = size[first]
         sid, size = np.repeat(sid, count), np.repeat(size, count)
         order = np.argsort(key, kind="stable")
         at = np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1])))
@@ -199,25 +211,26 @@ def _candidates(t: float):
         key, sid, size, place = key[order], sid[order].astype(np.int64), size[order].astype(np.int64), place[order].astype(np.int64)
         ends = np.append(np.flatnonzero(key[1:] != key[:-1]) + 1, len(key))
         left = np.repeat(ends, np.diff(np.concatenate(([0], ends)))) - np.arange(len(key)) if len(key) else np.zeros(0, np.int64)
-        codes, held, d = [], 0, 1
+        parts, held, d = [], 0, 1
         live = np.flatnonzero(left > d)
         while len(live):
             for s in range(0, len(live), 1 << 18):
                 x = live[s : s + (1 << 18)]
                 y = x + d
-                ok = _may_match(size[x], size[y], place[x], place[y], t)
-                codes.append(sid[x[ok]] * len(ids) + sid[y[ok]])
-                held += len(codes[-1])
+                ok = _counts(size[x], size[y], place[x], place[y], t)
+                codes = sid[x[ok]] * len(ids) + sid[y[ok]]
+                parts.append((codes, np.ones(len(codes), np.int64)))
+                held += len(codes)
             if held > HELD:
-                codes = [np.unique(np.concatenate(codes))]
-                held = len(codes[0])
+                parts = [summed(parts)]
+                held = len(parts[0][0])
                 if held > HELD // 2:
-                    yield from emit(codes[0], ids)
-                    codes, held = [], 0
+                    yield from emit(parts, ids, sizes)
+                    parts, held = [], 0
             d += 1
             live = live[left[live] > d]
         if held:
-            yield from emit(np.unique(np.concatenate(codes)), ids)
+            yield from emit(parts, ids, sizes)
 
     @shared.released
     def candidates(batches):
@@ -230,6 +243,12 @@ def _candidates(t: float):
     return candidates
 
 
+def _enough(size_a: str, size_b: str, t: float) -> "F.Column":
+    """n-grams that count which two sets share at least where they reach the threshold."""
+    need = F.ceil(F.lit(t / (1 + t)) * (F.col(size_a) + F.col(size_b)) - F.lit(EPS))
+    return 1 + F.floor(need / EACH)
+
+
 def _possible(lo_a, hi_a, pop_a, lo_b, hi_b, pop_b, common, t):
     """Whether sets of those size ranges, with at least pop bits each and at most `common` bits in both, may reach the threshold."""
     most = np.minimum(hi_a - np.maximum(0, pop_a - common), hi_b - np.maximum(0, pop_b - common))
@@ -418,7 +437,8 @@ def _joined(docs: DataFrame, n: int, t: float, pairs: bool) -> tuple[DataFrame,
     sets = shared.persist_shared(sets, spark)
     buckets = max(12, -(-int((grams or 0) * (1 - t) + (total or 0)) * POSTING_BYTES // BUCKET_BYTES))
     posted = docs.select("text").mapInArrow(_prefixes(n, t, known, buckets), "bucket int, keys binary, places binary, sids binary, sizes binary, counts binary")
-    found = posted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_candidates(t), "a long, b long").distinct()
+    found = posted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_candidates(t), "a long, b long, size_a int, size_b int, n int")
+    found = found.groupBy("a", "b").agg(F.sum("n").alias("n"), F.first(_enough("size_a", "size_b", t)).alias("enough")).where("n >= enough").select("a", "b")
     found = shared.persist_shared(found, spark)
     both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label"))
@@ -431,7 +451,8 @@ def _joined(docs: DataFrame, n: int, t: float, pairs: bool) -> tuple[DataFrame,
     met = wanted.join(sets.drop("copies"), "sid").join(bitmaps, ["rep", "sid"]).select("key", "sid", "cell", "size", "sig")
     left = met.repartition("key").sortWithinPartitions("key").mapInArrow(_prune(t), "key long, sid long, cell long")
     wanted = left.join(sets, "sid").groupBy(F.col("rep").alias("doc_id")).agg(F.collect_list(F.struct("key", "sid", "cell", "copies")).alias("wanted"))
-    met = docs.join(wanted, "doc_id").select("doc_id", "text", "wanted").mapInArrow(_sets(n), "key long, sid long, cell long, rep long, copies long, grams binary")
+    wanted = shared.persist_shared(wanted, spark)
+    met = shared.among(docs, wanted).join(wanted, "doc_id").select("doc_id", "text", "wanted").mapInArrow(_sets(n), "key long, sid long, cell long, rep long, copies long, grams binary")
     schema = "doc_a long, doc_b long, jaccard double" if pairs else "sid long, rep long, links long, root long"
     return members.join(sets, "sid", "left"), met.repartition("key").sortWithinPartitions("key").mapInArrow(_verify(t, pairs), schema)
 

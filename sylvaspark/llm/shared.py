@@ -11,12 +11,16 @@ import uuid
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
 
 #: Bytes of an Arrow batch between the JVM and a Python worker, unless the session asks for fewer.
 BATCH_BYTES = 8 << 20
 
+#: 64-bit words of the bitmap by which documents are filtered before a join: 2 MB with their keys at most.
+FILTER_WORDS = 1 << 17
+
 
 def release() -> None:
     """Gives the memory that this Python worker has freed back to the system: workers live on between stages."""
@@ -81,6 +85,15 @@ def documents(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[df[c] for c in columns])
 
 
+def among(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The documents that may have a doc_id of `wanted`, by a bitmap of FILTER_WORDS * 64 hashes: broadcast whatever the table's size, so that few other texts are shuffled to be joined."""
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(64 * FILTER_WORDS))
+    word, bit = F.floor(place / 64).alias("_word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
+    bitmap = wanted.select(word, bit.alias("b")).groupBy("_word").agg(F.bit_or("b").alias("_bits"))
+    own = docs.select("*", word)
+    return own.join(F.broadcast(bitmap), "_word").where(F.col("_bits").bitwiseAND(bit) != 0).drop("_word", "_bits")
+
+
 def grouped(batches, key: str = "key"):
     """Batches of a stream sorted by an integer key -> tables that hold whole groups only."""
     rest = None
