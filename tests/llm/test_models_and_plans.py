@@ -86,6 +86,15 @@ def test_perplexities_against_brute_force(spark):
         assert r.perplexity is None if not words(t) else r.perplexity == pytest.approx(math.exp(min(700, -lp / len(words(t)))), rel=1e-6)
 
 
+def test_language_model_of_repeated_rows(spark):
+    """A row that comes three times counts three times, and is scored three times alike."""
+    rows = [(1, "a b c d")] * 3 + [(2, "a b"), (None, "c d")]
+    once = [(i, t) for i, (_, t) in enumerate(rows)]
+    get = lambda r: sorted((x.n_words, round(x.log_prob, 9)) for x in classlm.perplexities(frame(spark, r)).collect())
+    got = get(rows)
+    assert len(got) == 5 and got == get(once) and len(set(got)) <= 3
+
+
 def test_language_model_of_nothing(spark):
     assert classlm.perplexities(frame(spark, [])).count() == 0
     assert [r.perplexity for r in classlm.perplexities(frame(spark, [(1, None), (2, "")])).collect()] == [None, None]
@@ -132,7 +141,15 @@ def test_gradients():
     rng = np.random.default_rng(0)
     m = {k: v.astype(np.float64) for k, v in toxicity.new_model(rng).items()}
     x, mask, y = rng.normal(size=(toxicity.T, 4, toxicity.D)), np.arange(toxicity.T)[:, None] < np.array([32, 5, 1, 20]), np.array([1.0, 0, 1, 0])
-    _, g = toxicity.gradients(m, x, mask, y)
+    _, g, dx = toxicity.gradients(m, x, mask, y)
+    for t, b, d in ((0, 0, 3), (4, 1, 9), (0, 2, 17), (19, 3, 0), (25, 3, 2)):
+        old, e = x[t, b, d], 1e-2
+        x[t, b, d] = old + e
+        up = toxicity.gradients(m, x, mask, y)[0]
+        x[t, b, d] = old - e
+        down = toxicity.gradients(m, x, mask, y)[0]
+        x[t, b, d] = old
+        assert (up - down) / 2 / e == pytest.approx(float(dx[t, b, d]), abs=2e-4)
     for k in m:
         i = tuple(rng.integers(0, s) for s in m[k].shape)
         old, e = m[k][i], 1e-2
@@ -144,6 +161,77 @@ def test_gradients():
         assert (a - b) / 2 / e == pytest.approx(float(g[k][i]), abs=2e-4)
 
 
+def _fitted(seed=0):
+    rng = np.random.default_rng(seed)
+    tables = {k: rng.normal(size=toxicity.SLOTS).astype(np.float32) for k in ("word", "char", "known")}
+    return {"model": toxicity.new_model(rng) | {k: 10 * v for k, v in toxicity.new_embeddings(rng).items()}, "tables": tables, "cut": 0.0}
+
+
+def test_embeddings_are_learnt_by_their_gradients():
+    f, rng = _fitted(), np.random.default_rng(1)
+    v = vocabulary(__import__("random").Random(2), 60)
+    words = textkit.Words(pa.array([" ".join(v)]))
+    evidence = toxicity._evidence(words, np.arange(len(v)), f["tables"])
+    m = {k: x.astype(np.float64) for k, x in f["model"].items()}
+    word, mask, y = rng.integers(0, len(v), (toxicity.T, 4)), np.arange(toxicity.T)[:, None] < np.array([32, 5, 1, 20]), np.array([1.0, 0, 1, 0])
+    loss = lambda: toxicity.gradients(m, toxicity._embedded(*evidence, m)[word], mask, y)
+    dx = loss()[2]
+    for k, (slots, grad) in zip(("Ew", "Ec"), toxicity.embedding_gradients(dx, word, mask, *evidence[1:])):
+        for i in rng.integers(0, len(slots), 6):
+            at, e = (slots[i], int(rng.integers(0, grad.shape[1]))), 1e-2
+            m[k][at] += e
+            up = loss()[0]
+            m[k][at] -= 2 * e
+            down = loss()[0]
+            m[k][at] += e
+            assert (up - down) / 2 / e == pytest.approx(float(grad[i, at[1]]), abs=2e-4)
+
+
+def test_scores_by_force():
+    """Every window of every text, one word at a time."""
+    f, rng = _fitted(3), __import__("random").Random(4)
+    v = vocabulary(rng, 80)
+    texts = [" ".join(rng.choice(v) for _ in range(n)) for n in (1, 5, 31, 32, 33, 70, 150)] + [None, "", "..."]
+    m = f["model"]
+    sig = lambda x: 1 / (1 + np.exp(-x))
+
+    def gru(rows, d):
+        h, out, H = np.zeros(toxicity.H), [], toxicity.H
+        for x in rows:
+            a, p = x @ m["W" + d] + m["c" + d], h @ m["U" + d]
+            z, r = sig(a[:H] + p[:H]), sig(a[H : 2 * H] + p[H : 2 * H])
+            n = np.tanh(a[2 * H :] + r * p[2 * H :])
+            h = n + z * (h - n)
+            out.append(h)
+        return out
+
+    def logit(rows):
+        s = np.concatenate((gru(rows, "f"), gru(rows[::-1], "b")[::-1]), axis=1)
+        e = np.exp(np.tanh(s @ m["A"] + m["a"]) @ m["v"])
+        return float((e / e.sum()) @ s @ m["u"] + m["o"][0])
+
+    best, many = toxicity.scores(f, textkit.Words(pa.array(texts)))
+    for t, b, n in zip(texts, best, many):
+        w = textkit.Words(pa.array([t], pa.string()))
+        size = int(w.count[0])
+        if not size:
+            assert b == -np.inf and n == 0
+            continue
+        x = toxicity._inputs(w, np.arange(size), f)
+        starts = sorted({*range(0, max(size - toxicity.T, 0) + 1, toxicity.STRIDE), max(size - toxicity.T, 0)})
+        by = {s: logit(x[s : s + toxicity.T]) for s in starts}
+        top = max(by, key=by.get)
+        fine = [s for s in range(top - 12, top + 13, 4) if 0 <= s <= size - toxicity.T]
+        assert n == len(starts) and b == pytest.approx(max([*by.values(), *(logit(x[s : s + toxicity.T]) for s in fine)]), abs=1e-4)
+
+
+def test_threshold_weighs_the_kinds_by_their_share():
+    yes, no = np.array([3.0, 2.0, 1.0, 0.2]), np.array([0.5, 0.0, -1.0, -2.0])
+    assert toxicity.threshold(yes, no, 0.5) == (pytest.approx(0.1), pytest.approx(8 / 9))
+    cut, f1 = toxicity.threshold(yes, no, 0.05)  # one clean in four rejected would be most of what is rejected
+    assert cut == pytest.approx(0.75) and f1 == pytest.approx(6 / 7)
+
+
 @given(st.lists(st.integers(0, 200), max_size=10))
 @settings(max_examples=40, deadline=None)
 def test_windows_cover_all_words(counts):
@@ -171,10 +259,10 @@ def _labelled(seed, n):
 
 def test_toxicity_on_held_out_documents(spark):
     rows = _labelled(1, 900)
-    docs = frame(spark, [r[:2] for r in rows] + [(5000, None), (5001, ""), (5002, "..."), (None, "zqxabc " * 5), (5003, "good words " * 20_000 + "zqxabc zqxdef " + "more words " * 500)])
+    docs = frame(spark, [r[:2] for r in rows] + [(5000, None), (5001, ""), (5002, "..."), (None, "zqxabc " * 5), (5003, "good words " * 20_000 + "zqxabc zqxdef " + "more words " * 500), rows[700][:2], rows[700][:2]])
     labels = spark.createDataFrame([(r[0], r[2], 1) for r in rows if r[0] < 600] + [(7, None, 1)], "doc_id long, toxic int, quality int")
     out = toxicity.score_documents(docs, labels).collect()
-    assert len(out) == len(rows) + 5
+    assert len(out) == len(rows) + 7 and len({(r.score, r.n_windows) for r in out if r.doc_id == rows[700][0]}) == 1  # repeated rows score alike
     by = {r.doc_id: r for r in out}
     held = [r for r in rows if r[0] >= 600]
     assert sum(by[i].toxic == bool(t) for i, _, t in held) >= 0.97 * len(held)
@@ -258,6 +346,22 @@ def test_mixing_meets_all_constraints(spark):
     assert all(got[i, t] == by[i, len(t.split())] for i, t, _, _ in rows)
 
 
+def test_mixing_rates_are_tilted_and_copies_follow_the_hash(spark):
+    """log rate = source term + language term + length term * log tokens, and the extra copy goes to documents whose hash is below the rest; one text is very long."""
+    import hashlib
+
+    rows = [r for r in _mix_rows() if r[2] and r[3]] + [(7001, "w " * 2000, "en", "b"), (7002, "w w", "en", "a"), (7002, "w w", "en", "a")]
+    out = mixing.rates(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), {"a": 1.0, "b": 2.0, "c": 1.0}).collect()
+    names = [*("abc"), "en", "de", "log"]
+    X = np.array([[float(r.source == n or r.lang == n) for n in names[:-1]] + [math.log(r.n_tokens)] for r in out])
+    y = np.log([r.rate for r in out])
+    assert np.abs(X @ np.linalg.lstsq(X, y, rcond=None)[0] - y).max() < 1e-8
+    for r in out:
+        h = int(hashlib.md5(str(r.doc_id).encode()).hexdigest()[:8], 16) / 2**32
+        assert r.copies == math.floor(r.rate) + (h < r.rate - math.floor(r.rate))
+    assert len({(r.rate, r.copies) for r in out if r.doc_id == 7002}) == 1 and sum(r.doc_id == 7002 for r in out) == 2
+
+
 def test_mixing_by_default_and_of_nothing(spark):
     docs = spark.createDataFrame(_mix_rows(), "doc_id long, text string, lang string, source string")
     out = mixing.rates(docs).collect()
