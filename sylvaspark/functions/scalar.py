@@ -116,3 +116,9 @@ def filename_parts(c) -> tuple[Column, Column]:
     parts = F.split(_col(c), "_")
     n = F.size(parts)
     return F.array_join(F.slice(parts, 1, F.greatest(n - 2, F.lit(0))), " "), F.when(n >= 5, F.get(parts, n - 2))
+
+
+def major_floor(level: str) -> Column:
+    """The major rank below a rank level: 57 -> 50, 50 -> 40."""
+    floor = F.floor(F.col(level) / 10) * 10
+    return F.when(floor == F.col(level), F.col(level) - 10).otherwise(floor).cast("double")

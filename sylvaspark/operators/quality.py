@@ -39,3 +39,19 @@ def require_no_nulls_from_cast(raw: DataFrame, typed: DataFrame, column: str) ->
     a, b = raw.where(F.col(column).isNotNull() & (F.col(column) != "")).count(), typed.where(F.col(column).isNotNull()).count()
     if a != b:
         raise ValueError(f"{a - b} values of {column} don't fit their type")
+
+
+def touched(rows: DataFrame, now: Column) -> DataFrame:
+    """Rows (changed, ...) with updated_at: the time of the write where they changed, null where they stay as they are."""
+    return rows.withColumn("updated_at", F.when(F.col("changed"), now))
+
+
+def gated_write(rows: DataFrame, provenance: DataFrame, edges: DataFrame, now: Column) -> DataFrame:
+    """Rows to be written (annotation_id, lifecycle_state, changed, deleted, ...) as the write leaves them, with `refused`: no_provenance where provenance has no row of the id,
+    lineage_delete where a row to be deleted is an end of an edge. Superseded rows get that state, changed ones the time."""
+    has = provenance.select(F.col("annotation_id").alias("_has")).distinct()
+    old = edges.select(F.col("superseded_annotation_id").alias("_old")).distinct()
+    w = rows.join(has, F.col("annotation_id") == F.col("_has"), "left").join(old, F.col("annotation_id") == F.col("_old"), "left")
+    reasons = F.array_compact(F.array(F.when(F.col("_has").isNull(), "no_provenance"), F.when(F.col("deleted") & F.col("_old").isNotNull(), "lineage_delete")))
+    state = F.when(F.col("_old").isNotNull(), "superseded").otherwise(F.col("lifecycle_state"))
+    return touched(w.withColumns({"lifecycle_state": state, "refused": reasons}), now).drop("_has", "_old")

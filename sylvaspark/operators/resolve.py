@@ -23,14 +23,29 @@ def exact_matches(names: DataFrame, catalogue: DataFrame) -> DataFrame:
     return both.unionByName(best(rest.join(b, F.col("_name").eqNullSafe(F.col("_cname"))), "exact_name_only", 0.95))
 
 
-def fuzzy_candidates(names: DataFrame, catalogue: DataFrame, cutoff: float = 90, top: int = 5, block: int = 1) -> DataFrame:
-    """(taxon_id, col_id, score): the best `top` names of the catalogue with a score of `cutoff` or more. Names are compared where they share the first
-    `block` letters and differ in length by no more than the cutoff lets them; that is exact but for edits of the first letters."""
+def _segments(length: str, edits: str, i: str) -> tuple[str, str]:
+    """(start, length) of segment i of 0..edits of a text, as SQL: as even as can be, the longer ones last."""
+    base, rest = f"({length} div ({edits} + 1))", f"({length} % ({edits} + 1))"
+    return f"({i} * {base} + greatest(0, {i} - ({edits} + 1 - {rest})))", f"({base} + if({i} >= {edits} + 1 - {rest}, 1, 0))"
+
+
+def fuzzy_candidates(names: DataFrame, catalogue: DataFrame, cutoff: float = 90, top: int = 5) -> DataFrame:
+    """(taxon_id, col_id, score): the best `top` names of the catalogue with a score of `cutoff` or more, exactly.
+
+    A name of length n differs from a partner by k = n (100 - cutoff) / cutoff edits at most. It is cut to k + 1 segments, one of which every partner holds unchanged, moved
+    by no more edits than may lie on either side of it; names meet by the equality of (length, number of the segment, segment) with those pieces of the catalogue's names."""
     a = names.select("taxon_id", scalar.normalise_name("name").alias("_a")).where("_a <> ''")
     b = catalogue.select("col_id", scalar.normalise_name("name").alias("_b")).where("_b <> ''")
-    slack = (100 - cutoff) / 100
-    pairs = a.withColumn("_k", F.substring("_a", 1, block)).join(b.withColumn("_k", F.substring("_b", 1, block)), "_k")
-    pairs = pairs.where(F.abs(F.length("_a") - F.length("_b")) <= slack * F.greatest(F.length("_a"), F.length("_b"))).withColumn("score", scalar.similarity("_a", "_b")).where(F.col("score") >= cutoff)
+    edits = lambda n: f"cast(floor({n} * {(100 - cutoff) / cutoff} + 1e-9) as int)"
+    start, size = _segments("_n", "_k", "_i")
+    each = "explode(sequence(0, _k)) _i"
+    left = a.selectExpr("*", "length(_a) _n").selectExpr("*", f"{edits('_n')} _k").selectExpr("*", each).selectExpr("taxon_id", "_a", "_n", "_i", f"substring(_a, {start} + 1, {size}) _seg")
+    lengths = f"explode(sequence(cast(ceil(length(_b) * {cutoff / 100} - 1e-9) as int), cast(floor(length(_b) * {100 / cutoff} + 1e-9) as int))) _n"
+    right = b.selectExpr("*", lengths).selectExpr("*", f"{edits('_n')} _k", "length(_b) - _n _d").selectExpr("*", each).selectExpr("*", f"{start} _s", f"{size} _z")
+    low, high = "greatest(0, _s - _i, _s + _d - (_k - _i))", "least(length(_b) - _z, _s + _i, _s + _d + (_k - _i))"
+    right = right.where(f"{low} <= {high}").selectExpr("col_id", "_b", "_n", "_i", "_z", f"explode(sequence({low}, {high})) _p").selectExpr("col_id", "_b", "_n", "_i", "substring(_b, _p + 1, _z) _seg").distinct()
+    pairs = left.join(right, ["_n", "_i", "_seg"]).select("taxon_id", "col_id", "_a", "_b").distinct()
+    pairs = pairs.withColumn("score", scalar.similarity("_a", "_b")).where(F.col("score") >= cutoff)
     w = Window.partitionBy("taxon_id").orderBy(F.desc("score"), "col_id")
     return pairs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= top).select("taxon_id", "col_id", "score")
 
@@ -50,11 +65,14 @@ def resolve_homonyms(candidates: DataFrame, own: DataFrame, theirs: DataFrame, l
 
 
 def crosswalk(names: DataFrame, catalogue: DataFrame, own: DataFrame, theirs: DataFrame) -> DataFrame:
-    """All of the above in turn; fuzzy matches only against accepted names, and none if there are none."""
+    """All of the above in turn: names without an exact match are compared with the accepted names, and those that match none of them with all names. Without
+    accepted names there are no fuzzy matches."""
     exact = exact_matches(names, catalogue)
     rest = names.join(exact.select("taxon_id"), "taxon_id", "left_anti")
     accepted = catalogue.where("status = 'accepted'")
-    return exact.unionByName(resolve_homonyms(fuzzy_candidates(rest, accepted), own, theirs))
+    first = fuzzy_candidates(rest, accepted)
+    others = rest.join(first.select("taxon_id"), "taxon_id", "left_anti").join(accepted.limit(1).select(F.lit(1).alias("_any")), F.lit(True), "left_semi")
+    return exact.unionByName(resolve_homonyms(first.unionByName(fuzzy_candidates(others, catalogue)), own, theirs))
 
 
 def media_duplicates(manifest: DataFrame, photo_ids: DataFrame, media: DataFrame) -> DataFrame:

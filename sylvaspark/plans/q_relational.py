@@ -1,10 +1,12 @@
 """Queries of sources, sinks, filters, joins, aggregates, windows, sorting and sets over the roles."""
 
+from functools import reduce
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sylvaspark import registry
-from sylvaspark.operators import delta, export, geo, resolve, taxonomy
+from sylvaspark.operators import delta, export, geo, numbering, resolve, taxonomy
 from sylvaspark.plans.export import ExportSpec, Stages, gate_spec
 from sylvaspark.plans.export import run as run_export
 from sylvaspark.plans.registry import query, scratch
@@ -61,7 +63,7 @@ def _(r):
     return files.observations_with_markers(r.spark, path).select("observation_uuid", "quality_grade", "anomaly_score")
 
 
-@query("src_06_split_photos", "SELECT photo_uuid, photo_id, observation_uuid, position FROM photos WHERE photo_id < 2000000000")
+@query("src_06_split_photos", "SELECT photo_uuid, photo_id, observation_uuid, position FROM photos")
 def _(r):
     cols = ["photo_uuid", "photo_id", "observation_uuid", "observer_id", "extension", "license", "width", "height", "position"]
     back = files.dump(r.spark, _written(r, r.photos.select(cols)), "photos")
@@ -284,9 +286,14 @@ def _(r):
     return r.obs.join(r.taxa.select("taxon_id", "rank_level"), "taxon_id").where("not (rank_level = 10 and quality_grade <> 'research')").select("observation_uuid")
 
 
-@query("flt_15_region_lookup", f"SELECT 'NAfull' AS tag, {NA.west} AS west, {NA.south} AS south, {NA.east} AS east, {NA.north} AS north")
+_BOXED = {tag: registry.region(tag).scaled(100) for tag in registry.REGIONS}
+
+
+@query("flt_15_region_lookup", " UNION ALL ".join(f"SELECT '{t}' AS tag, count(*) AS n FROM obs WHERE longitude BETWEEN {b.west} AND {b.east} AND latitude BETWEEN {b.south} AND {b.north}" for t, b in _BOXED.items()))
 def _(r):
-    return r.spark.createDataFrame([("NAfull", *NA)], "tag string, west int, south int, east int, north int")
+    """Observations in each region; one pass over the table for all of them."""
+    inside = [F.struct(F.lit(t).alias("tag"), F.count_if(geo.overlaps(b)).alias("n")) for t, b in _BOXED.items()]
+    return r.obs.agg(F.array(*inside).alias("a")).select(F.inline("a"))
 
 
 @query("flt_16_clade_condition", "SELECT taxon_id FROM taxa WHERE taxon_id = 47158 OR taxon_id = 47119 OR rank_level = 70")
@@ -295,10 +302,12 @@ def _(r):
     return r.taxa.where(F.col("taxon_id").isin(*ids) | (F.col("rank_level") == 70)).select("taxon_id")
 
 
-@query("flt_17_clade_roots", "SELECT * FROM (VALUES (1, NULL, 184884), (2, NULL, 418641), (3, 40.0::DOUBLE, 48796)) AS t(pos, level, id)")
+@query("flt_17_clade_roots", 'SELECT "taxonID" FROM wide WHERE "L40_taxonID" = 2003 OR "L20_taxonID" = 30041 OR "taxonID" = 100007 OR "L10_taxonID" = 100012')
 def _(r):
-    rows = [(k + 1, level, i) for k, (level, i) in enumerate(registry.roots(registry.clade_condition(clade="pterygota")))]
-    return r.spark.createDataFrame(rows, "pos int, level double, id int")
+    """The taxa below the roots that are parsed from an expression."""
+    roots = registry.roots('"L40_taxonID" = 2003 OR L20_taxonID=30041 OR "taxonID" = 100007 OR "L10_taxonID" = 100012')
+    below = [F.col("taxonID" if level is None else f"L{level:g}_taxonID") == i for level, i in roots]
+    return r.wide.where(reduce(lambda a, b: a | b, below)).select("taxonID")
 
 
 @query("flt_18_path_prefix", "SELECT taxon_id FROM taxa WHERE ancestry LIKE '1001/2001/%'")
@@ -369,7 +378,7 @@ SIM = "100.0::DOUBLE - 100.0::DOUBLE * levenshtein(a, b) / greatest(length(a), l
 NORM = "trim(regexp_replace(lower(name), '\\s+', ' ', 'g'))"
 FUZZY = f"""
 WITH a AS (SELECT taxon_id, {NORM} AS a FROM names), b AS (SELECT col_id, {NORM} AS b FROM cat),
-p AS (SELECT taxon_id, col_id, {SIM} AS score FROM a, b WHERE a <> '' AND b <> '' AND a[1] = b[1]),
+p AS (SELECT taxon_id, col_id, {SIM} AS score FROM a, b WHERE a <> '' AND b <> ''),
 r AS (SELECT *, row_number() OVER (PARTITION BY taxon_id ORDER BY score DESC, col_id) AS rn FROM p WHERE score >= 90)
 SELECT taxon_id, col_id, score FROM r WHERE rn <= 5"""
 
@@ -478,14 +487,8 @@ def _(r):
     return r.manifest.join(r.photos.select(F.col("photo_id").alias("id_core")), "id_core", "left_semi").select("row_id")
 
 
-@query("jon_19_lower_name", "SELECT p_partkey, col_id FROM part JOIN cat ON lower(p_name) = lower(name) WHERE p_partkey < 50")
+@query("jon_19_lower_name", "SELECT p_partkey, col_id FROM part JOIN cat ON lower(p_name) = lower(name)")
 def _(r):
-    return _by_lower_name(r.table("part").where("p_partkey < 50"), r.cat)
-
-
-@query("jon_19_lower_name_whole", "SELECT p_partkey, col_id FROM part JOIN cat ON lower(p_name) = lower(name)")
-def _(r):
-    """All parts."""
     return _by_lower_name(r.table("part"), r.cat)
 
 
@@ -592,12 +595,15 @@ def _(r):
 
 @query("agg_14_top3_names", "SELECT rank, array_to_string(list_slice(list(name ORDER BY name), 1, 3), ', ') AS names FROM taxa WHERE name IS NOT NULL GROUP BY rank")
 def _(r):
-    return r.taxa.where("name is not null").groupBy("rank").agg(F.array_join(F.slice(F.sort_array(F.collect_list("name")), 1, 3), ", ").alias("names"))
+    """Three rows of a rank at most leave a partition (WindowGroupLimit), so no rank is gathered whole."""
+    first = r.taxa.where("name is not null").withColumn("_k", F.row_number().over(Window.partitionBy("rank").orderBy("name"))).where("_k <= 3")
+    return first.groupBy("rank").agg(F.array_join(F.sort_array(F.collect_list("name")), ", ").alias("names"))
 
 
 @query("agg_15_distinct_sample", "SELECT observer_id, array_to_string(list_slice(list_sort(list(DISTINCT taxon_id)), 1, 3), ',') AS taxa FROM obs GROUP BY observer_id")
 def _(r):
-    return r.obs.groupBy("observer_id").agg(F.array_join(F.slice(F.sort_array(F.collect_set("taxon_id")), 1, 3).cast("array<string>"), ",").alias("taxa"))
+    first = r.obs.select("observer_id", "taxon_id").distinct().withColumn("_k", F.row_number().over(Window.partitionBy("observer_id").orderBy("taxon_id"))).where("_k <= 3")
+    return first.groupBy("observer_id").agg(F.array_join(F.sort_array(F.collect_list("taxon_id")).cast("array<string>"), ",").alias("taxa"))
 
 
 @query("agg_16_distinct", "SELECT DISTINCT observer_id, quality_grade FROM obs")
@@ -699,9 +705,15 @@ def _(r):
     return taxonomy.best_by_key(r.ann.withColumn("t", annotate.trust_rank(50)), ["subject_id", "label"], [F.desc("t"), F.desc_nulls_last("confidence"), F.asc("annotation_id")]).select("annotation_id")
 
 
-@query("win_05_global_row_number", "SELECT annotation_id, CAST(row_number() OVER (ORDER BY created_at, annotation_id) AS INTEGER) AS rn FROM ann WHERE set_id = 1")
+@query("win_05_global_row_number", "SELECT annotation_id, row_number() OVER (ORDER BY created_at, annotation_id) AS rn FROM ann WHERE set_id = 1")
+def _(r):
+    return numbering.numbered(r.ann.where("set_id = 1").select("annotation_id", "created_at"), "created_at", "annotation_id").select("annotation_id", F.col("rn").cast("bigint").alias("rn"))
+
+
+@query("srt_06_batches", "SELECT observation_uuid, CAST((row_number() OVER (ORDER BY observation_uuid) - 1) // 500 AS INTEGER) AS batch FROM obs")
 def _(r):
-    return r.ann.where("set_id = 1").select("annotation_id", F.row_number().over(Window.orderBy("created_at", "annotation_id")).alias("rn"))
+    """Pages of 500 rows in the order of the key."""
+    return numbering.batches(r.obs.select("observation_uuid"), "observation_uuid", 500).select("observation_uuid", "batch")
 
 
 @query("win_06_first_per_key", "SELECT row_id FROM manifest WHERE sha256 IS NOT NULL QUALIFY row_number() OVER (PARTITION BY sha256 ORDER BY coalesce(file_bytes, 0) DESC, row_id) = 1")

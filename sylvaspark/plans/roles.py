@@ -52,18 +52,18 @@ FROM events""",
 SELECT doc_id AS row_id, CASE WHEN doc_id % 43 = 0 THEN NULL ELSE sha256(text) END AS sha256, CASE WHEN doc_id % 31 = 0 THEN NULL ELSE n_chars END AS file_bytes, CASE WHEN doc_id % 3 = 0 THEN doc_id * 100 ELSE NULL END AS id_core,
   'Genus' || (doc_id % 25) || '_species_' || (100000 + doc_id) || CASE WHEN doc_id % 2 = 0 THEN '_' || (doc_id % 5) ELSE '' END || '.jpg' AS filename, source AS scientific_name
 FROM documents""",
-    "media": "SELECT item_id AS media_id, sha256(text) AS sha256, 'file:///' || item_id AS uri, CASE item_id % 4 WHEN 0 THEN 'CC-BY' WHEN 1 THEN 'unknown' WHEN 2 THEN 'restricted' ELSE NULL END AS license FROM benchmark UNION ALL SELECT 1000000 + doc_id, sha256(text), 'file:///d' || doc_id, 'all-rights-reserved' FROM documents WHERE doc_id % 50 = 7",
+    "media": "SELECT item_id AS media_id, sha256(text) AS sha256, 'file:///' || item_id AS uri, CASE item_id % 4 WHEN 0 THEN 'CC-BY' WHEN 1 THEN 'unknown' WHEN 2 THEN 'restricted' ELSE NULL END AS license FROM benchmark UNION ALL SELECT 1000000 + doc_id, sha256(CASE WHEN doc_id % 50 = 7 THEN text ELSE text || '~' END), 'file:///d' || doc_id, 'all-rights-reserved' FROM documents",
     "cat": """
 SELECT 'C' || p_partkey AS col_id, CASE WHEN p_partkey % 3 = 0 THEN upper(p_name) ELSE p_name END AS name, CASE p_partkey % 4 WHEN 0 THEN 'genus' WHEN 1 THEN NULL ELSE 'species' END AS rank, CASE p_partkey % 5 WHEN 0 THEN 'accepted' WHEN 1 THEN 'synonym' ELSE 'provisionally accepted' END AS status
 FROM part""",
     "names": """
 SELECT CAST(p_partkey AS INTEGER) AS taxon_id, CASE WHEN p_partkey % 7 = 0 THEN p_name || '  ' ELSE p_name END || CASE WHEN p_partkey % 11 = 0 THEN ' x' ELSE '' END AS name, CASE p_partkey % 3 WHEN 0 THEN 'genus' WHEN 1 THEN 'species' ELSE NULL END AS rank
-FROM part WHERE p_partkey % 2 = 0""",
+FROM part""",
     "vern": """
 SELECT 'C' || p_partkey AS col_id, p_type || ' ' || p_size AS name, CASE p_size % 3 WHEN 0 THEN 'eng' WHEN 1 THEN 'eng' ELSE 'fra' END AS language, CASE p_size % 4 WHEN 0 THEN TRUE WHEN 1 THEN NULL ELSE FALSE END AS preferred FROM part
 UNION ALL SELECT 'C' || p_partkey, p_brand, 'eng', p_size % 2 = 0 FROM part""",
     "xwalk": "SELECT taxon_id, 'C' || (taxon_id % 200) AS col_id FROM taxa WHERE taxon_id % 3 <> 0",
-    "cells": "SELECT CAST(p_partkey % 36 AS INTEGER) AS ix, CAST(p_partkey // 36 AS INTEGER) AS iy, CASE WHEN p_partkey % 29 = 0 THEN -9999 ELSE CAST(floor(p_retailprice) AS INTEGER) END AS elevation FROM part WHERE p_partkey < 648",
+    "cells": "SELECT CAST(p_partkey % 36 AS INTEGER) AS ix, CAST(p_partkey // 36 % 18 AS INTEGER) AS iy, max(CASE WHEN p_partkey % 29 = 0 THEN -9999 ELSE CAST(floor(p_retailprice) AS INTEGER) END) AS elevation FROM part GROUP BY ALL",
 }
 
 
@@ -100,6 +100,9 @@ def with_roles(body: str) -> str:
     return f"WITH {ctes}, {body.lstrip()[5:]}" if body.lstrip().upper().startswith("WITH ") else f"WITH {ctes} {body}"
 
 
+_wide: dict[tuple[str, str], DataFrame] = {}
+
+
 class Roles:
     """The roles over one folder of the driver's tables; each is a lazy DataFrame."""
 
@@ -185,7 +188,7 @@ class Roles:
     @cached_property
     def media(self) -> DataFrame:
         a = self.table("benchmark").selectExpr("item_id media_id", "sha2(text, 256) sha256", "concat('file:///', item_id) uri", "case item_id % 4 when 0 then 'CC-BY' when 1 then 'unknown' when 2 then 'restricted' end license")
-        return a.unionByName(self.table("documents").where("doc_id % 50 = 7").selectExpr("1000000 + doc_id media_id", "sha2(text, 256) sha256", "concat('file:///d', doc_id) uri", "'all-rights-reserved' license"))
+        return a.unionByName(self.table("documents").selectExpr("1000000 + doc_id media_id", "sha2(if(doc_id % 50 = 7, text, concat(text, '~')), 256) sha256", "concat('file:///d', doc_id) uri", "'all-rights-reserved' license"))
 
     @cached_property
     def cat(self) -> DataFrame:
@@ -193,7 +196,7 @@ class Roles:
 
     @cached_property
     def names(self) -> DataFrame:
-        return self.table("part").where("p_partkey % 2 = 0").selectExpr("cast(p_partkey as int) taxon_id", "concat(p_name, if(p_partkey % 7 = 0, '  ', ''), if(p_partkey % 11 = 0, ' x', '')) name", "case p_partkey % 3 when 0 then 'genus' when 1 then 'species' end rank")
+        return self.table("part").selectExpr("cast(p_partkey as int) taxon_id", "concat(p_name, if(p_partkey % 7 = 0, '  ', ''), if(p_partkey % 11 = 0, ' x', '')) name", "case p_partkey % 3 when 0 then 'genus' when 1 then 'species' end rank")
 
     @cached_property
     def vern(self) -> DataFrame:
@@ -207,9 +210,13 @@ class Roles:
 
     @cached_property
     def cells(self) -> DataFrame:
-        return self.table("part").where("p_partkey < 648").selectExpr("cast(p_partkey % 36 as int) ix", "cast(p_partkey div 36 as int) iy", "if(p_partkey % 29 = 0, -9999, cast(floor(p_retailprice) as int)) elevation")
+        parts = self.table("part").selectExpr("cast(p_partkey % 36 as int) ix", "cast(p_partkey div 36 % 18 as int) iy", "if(p_partkey % 29 = 0, -9999, cast(floor(p_retailprice) as int)) elevation")
+        return parts.groupBy("ix", "iy").agg(F.max("elevation").alias("elevation"))
 
     @cached_property
     def wide(self) -> DataFrame:
-        """The expanded taxa as a table, as several parts of a plan read it."""
-        return kept(taxonomy.expand(self.taxa))
+        """The expanded taxa as a table, as several parts of a plan read it: made once for an application and a folder of tables."""
+        key = (self.spark.sparkContext.applicationId, self.dir)
+        if key not in _wide:
+            _wide[key] = kept(taxonomy.expand(self.taxa))
+        return _wide[key]

@@ -102,9 +102,9 @@ def id_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.trim("value").try_cast("bigint").alias("id")).where("id is not null").distinct()
 
 
-def ascii_grids(spark: SparkSession, folder: str, tile: int = 100) -> DataFrame:
+def ascii_grids(spark: SparkSession, folder: str, tile: int = 100, pattern: str = "*.asc") -> DataFrame:
     """Tiles of ESRI ASCII grids (*.asc): tile_id, ulx, uly, px_w, px_h, cols, rows, nodata, values. One file is one task's work, and is cut to tiles as it is read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.asc").load(folder).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path", "content")
 
     def cut(batches):
         for b in batches:

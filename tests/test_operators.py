@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sylvaspark import registry, schemas
 from sylvaspark.functions import scalar
-from sylvaspark.operators import annotate, delta, export, geo, quality, resolve, taxonomy
+from sylvaspark.operators import annotate, delta, export, geo, numbering, quality, resolve, taxonomy
 from sylvaspark.plans.export import PRESETS, ExportSpec, Stages, closure_of, gate_spec
 
 
@@ -198,5 +198,60 @@ def test_name_resolution_and_media(spark, taxa):
 def test_raster_tiles(spark):
     tiles = spark.createDataFrame([(1, 0.0, 10.0, 1.0, 1.0, 10, 10, -9999.0, [float(i) for i in range(100)]), (2, 10.0, 10.0, 1.0, 1.0, 10, 10, -9999.0, [-9999.0] * 100), (3, 5.0, 10.0, 1.0, 1.0, 10, 10, -9999.0, [500.0] * 100)], "tile_id int, ulx double, uly double, px_w double, px_h double, cols int, rows int, nodata double, values array<double>")
     points = spark.createDataFrame([(0.0, 9.5), (9.99, 0.5), (10.0, 5.0), (19.0, 5.0), (30.0, 5.0), (None, 5.0)], "lon double, lat double")
-    assert [r.elevation for r in geo.sample_tiles(points, tiles, 4.0).orderBy(F.asc_nulls_last("lon")).collect()] == [0.0, 99.0, 500.0, None, None, None]
-    assert math.isclose(geo.sample_tiles(points, tiles, 100.0).agg(F.sum("elevation")).first()[0], 599.0)
+    assert [r.elevation for r in geo.sample_tiles(points, tiles, 4.0, "lon").orderBy(F.asc_nulls_last("lon")).collect()] == [0.0, 99.0, 500.0, None, None, None]
+    assert math.isclose(geo.sample_tiles(points, tiles, 100.0, "lon").agg(F.sum("elevation")).first()[0], 599.0)
+
+
+def test_fuzzy_candidates_are_those_of_all_pairs(spark):
+    """Edits anywhere in the name, the first letter too; lengths that differ; a lower cutoff."""
+    import random
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, old = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(old[j] + 1, row[j - 1] + 1, old[j - 1] + (x != y)))
+        return row[-1]
+
+    rng = random.Random(1)
+    word = lambda n: "".join(rng.choice("abcde ") for _ in range(n)).strip() or "a"
+    base = [word(rng.randint(1, 45)) for _ in range(60)]
+
+    def changed(w):
+        for _ in range(rng.randint(0, 4)):
+            i = rng.randrange(len(w) + 1)
+            w = rng.choice((w[:i] + w[i + 1 :], w[:i] + rng.choice("abcdxyz") + w[i:], w[:i] + rng.choice("abcdxyz") + w[i + 1 :]))
+        return w
+
+    cat = [(f"C{k}", changed(w)) for k, w in enumerate(base * 3)]
+    names, catalogue = spark.createDataFrame(list(enumerate(base)), "taxon_id int, name string"), spark.createDataFrame(cat, "col_id string, name string")
+    norm = lambda x: " ".join(x.lower().split())
+    for cutoff in (90, 75):
+        got = {(r.taxon_id, r.col_id): r.score for r in resolve.fuzzy_candidates(names, catalogue, cutoff, 1000).collect()}
+        score = lambda a, b: 100 - 100 * edits(a, b) / max(len(a), len(b))
+        want = {(i, c): s for i, w in enumerate(base) for c, x in cat if norm(w) and norm(x) and (s := score(norm(w), norm(x))) >= cutoff}
+        assert got.keys() == want.keys() and all(math.isclose(got[k], want[k]) for k in want) and len(want) > 60
+
+
+def test_crosswalk_falls_back_to_all_names(spark):
+    cat = spark.createDataFrame([("C1", "abies alba", "species", "accepted"), ("C2", "picea abies", "species", "synonym"), ("C3", "larix decidua", "species", "synonym"), ("C4", "larix decidue", "species", "accepted")], "col_id string, name string, rank string, status string")
+    names = spark.createDataFrame([(1, "abies albb", "species"), (2, "picea abiez", "species"), (3, "larix decidux", "species"), (4, "xxxx", "species")], "taxon_id int, name string, rank string")
+    lineage = lambda df, key: df.select(key, *[F.lit(None).cast("string").alias(c) for c in ("genus", "family", "order", "class", "phylum")])
+    go = lambda c: {r.taxon_id: r.col_id for r in resolve.crosswalk(names, c, lineage(names, "taxon_id"), lineage(c, "col_id")).collect()}
+    assert go(cat) == {1: "C1", 2: "C2", 3: "C4"}
+    assert go(cat.where("status <> 'accepted'")) == {}
+
+
+def test_numbers_in_a_global_order(spark):
+    df = spark.range(0, 1000, 1, 7).select((F.col("id") * 7919 % 1000).alias("k"))
+    assert [(r.k, r.rn) for r in numbering.numbered(df, "k").orderBy("k").collect()] == [(i, i + 1) for i in range(1000)]
+    out = numbering.batches(df, "k", 300, 700).collect()
+    assert sorted((r.k, r.batch) for r in out) == [(i, i // 300) for i in range(700)]
+    assert numbering.numbered(df.limit(0), "k").count() == 0
+
+
+def test_runs(spark):
+    steps = [("a", 1, 5, 3, False), ("a", 2, 0, 0, False), ("b", 1, 9, 0, False), ("b", 2, 8, 0, False), ("b", 3, 7, 0, False), ("c", 1, 9, 2, False), ("d", 1, 9, 2, True), ("e", 1, 9, 2, True), ("e", 2, 8, 1, False)]
+    out = geo.run_states(spark.createDataFrame(steps, "run string, batch int, remaining int, filled int, error boolean"))
+    assert {r.run: (r.state, r.done, r.left) for r in out.collect()} == {"a": ("completed", 3, 0), "b": ("stopped", 0, 7), "c": ("running", 2, 9), "d": ("failed", 2, 9), "e": ("running", 3, 8)}

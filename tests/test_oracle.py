@@ -43,14 +43,6 @@ def test_query_equals_sql(spark, duck, name):
     assert rows(got) == rows(want)
 
 
-@pytest.mark.parametrize("name, key, keys", [("jon_19_lower_name", "p_partkey", "SELECT p_partkey FROM part"), ("jon_23_range_join", "ts_key", "SELECT event_id FROM events"), ("scf_26_similarity", "taxon_id", "SELECT p_partkey FROM part WHERE p_partkey % 2 = 0")])
-def test_whole_tables(spark, duck, name, key, keys):
-    """The queries over id subsets have a form over whole tables in which every key comes; both agree on the subset."""
-    part, whole = (registry.queries()[n](spark, DIR).toPandas() for n in (name, f"{name}_whole"))
-    assert set(whole[key]) == {k for (k,) in duck.sql(keys).fetchall()}
-    assert len(whole) > len(part) and set(rows(part)) <= set(rows(whole))
-
-
 def test_all_queries_have_sql():
     assert set(registry.QUERIES) == set(registry.SQL)
 
