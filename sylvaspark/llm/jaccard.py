@@ -21,7 +21,8 @@ Defined results
   all in other pairs: no link between different texts is lost, and a text with a million copies gives a million rows, not their square.
 - A pair comes once, doc_a < doc_b. A repeated row counts once. An id with several texts has the links of each of them (n_links counts text by text) and never one with itself.
 - Other columns of the input are ignored, so their names don't matter; an empty table gives no rows.
-The counts behind the order are those of n-grams that a slice of texts holds OFTEN times, and of the KNOWN most frequent; any order gives the same links, a good one fewer candidates.
+The counts behind the order are made over all documents, of words and n-grams that come OFTEN times in a part of a partition (of COUNTED distinct n-grams); the KNOWN most
+frequent are told to all tasks. Any order gives the same links, a good one fewer candidates.
 """
 
 import numpy as np
@@ -33,7 +34,7 @@ from sylvaspark.llm import components, shared, textkit
 
 N, THRESHOLD, WORDS64, NARROW, WIDE = 2, 0.5, 8, 7, 16
 LEAF, FANOUT, BLOCK = 16, 8, 128
-OFTEN, OFTEN_WORD, KNOWN = 3, 8, 1 << 18
+OFTEN, OFTEN_WORD, COUNTED, KNOWN = 3, 8, 3 << 20, 1 << 20
 BUCKET_BYTES, POSTING_BYTES, HELD, EACH = 20 << 20, 12, 1 << 21, 20
 DOCUMENT, WORD, GRAM = 0, 1, 2
 EPS = 1e-9
@@ -73,29 +74,63 @@ def _signatures(g: np.ndarray, ptr: np.ndarray) -> pa.Array:
     return shared.binaries(np.packbits(flags, bitorder="little"), base // 8)
 
 
-def _frequent(keys: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    u, n = np.unique(keys, return_counts=True)
-    return u[n >= least], n[n >= least]
+class _Counter:
+    """Counts of hashes over a part of a partition."""
+
+    def __init__(self, least: int):
+        self.least, self.parts, self.held = least, [], 0
+
+    def add(self, keys: np.ndarray) -> None:
+        self.parts.append(np.unique(keys, return_counts=True))
+        self.held += len(self.parts[-1][0])
+
+    def full(self) -> bool:
+        if self.held > 2 * COUNTED and len(self.parts) > 1:
+            self.parts = [self._summed()]
+            self.held = len(self.parts[0][0])
+        return self.held > COUNTED and len(self.parts) == 1
+
+    def _summed(self) -> tuple[np.ndarray, np.ndarray]:
+        u, k = np.unique(np.concatenate([p[0] for p in self.parts]), return_inverse=True)
+        return u, np.bincount(k, np.concatenate([p[1] for p in self.parts]), len(u)).astype(np.int64)
+
+    def take(self) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes that came often enough, with their counts; starts again."""
+        if not self.parts:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        u, n = self._summed()
+        self.parts, self.held = [], 0
+        return u[n >= self.least], n[n >= self.least]
 
 
 def _records(n: int):
-    """Rows of three kinds: (DOCUMENT, doc_id, set id, size, bitmap), (WORD, hash, null, count, null) and (GRAM, hash, null, documents of the slice, null)."""
+    """Rows of three kinds: (DOCUMENT, doc_id, set id, size, bitmap), (WORD, hash, null, count, null) and (GRAM, hash, null, number of documents, null)."""
 
     def rows(kind: int, a, b, n, sig=None):
         sig = pa.nulls(len(n), pa.binary()) if sig is None else sig
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int8)), a, b, pa.array(n.astype(np.int32)), sig], ["kind", "a", "b", "n", "sig"])
 
+    def often(kind: int, counter: _Counter):
+        u, count = counter.take()
+        for s in range(0, len(u), 1 << 18):
+            e = slice(s, s + (1 << 18))
+            yield rows(kind, pa.array(textkit.signed(u[e])), pa.nulls(len(u[e]), pa.int64()), count[e])
+
     @shared.released
     def records(batches):
+        counters = {WORD: _Counter(OFTEN_WORD), GRAM: _Counter(OFTEN)}
         for b in batches:
             texts, ids = b.column("text"), b.column("doc_id")
             for at, to in textkit.slices(texts):
                 words = textkit.Words(texts.slice(at, to - at))
                 g, ptr = _unique_sets(*textkit.grams(words, n))
                 yield rows(DOCUMENT, ids.slice(at, to - at), pa.array(_set_ids(g, ptr)), np.diff(ptr), _signatures(g, ptr))
-                for kind, keys, least in ((WORD, words.hash, OFTEN_WORD), (GRAM, g, OFTEN)):
-                    u, count = _frequent(keys, least)
-                    yield rows(kind, pa.array(textkit.signed(u)), pa.nulls(len(u), pa.int64()), count)
+                for kind, keys in ((WORD, words.hash), (GRAM, g)):
+                    counters[kind].add(keys)
+                    if counters[kind].full():
+                        yield from often(kind, counters[kind])
+        for kind, counter in counters.items():
+            yield from often(kind, counter)
 
     return records
 
