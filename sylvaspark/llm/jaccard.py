@@ -27,6 +27,8 @@ frequent are told to all tasks. Any order gives the same links, a good one fewer
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as ds
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -135,12 +137,31 @@ def _records(n: int):
     return records
 
 
-def _known(counts: DataFrame, kind: int) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of the KNOWN most frequent words or n-grams, sorted, and the logarithms of their counts."""
-    top = counts.where(F.col("kind") == kind).orderBy(F.desc("n"), "a").limit(KNOWN).toPandas()
-    key, n = top["a"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.float64)
-    order = np.argsort(key)
-    return key[order], np.log2(np.maximum(n[order], 1)).astype(np.float32)
+def _keep_known(counts: DataFrame, spark: SparkSession) -> str:
+    """Writes the about KNOWN most frequent words and n-grams of (kind, a, n) to the shared folder, where the tasks read them: the driver holds none of them."""
+    counts = shared.persist_shared(counts.withColumn("step", F.floor(8 * F.log2("n"))), spark)
+    least, held = {WORD: 0, GRAM: 0}, {WORD: 0, GRAM: 0}
+    for r in counts.groupBy("kind", "step").count().orderBy(F.desc("step")).collect():  # eight rows for each doubling of a count
+        held[r.kind] += r["count"]
+        if held[r.kind] > KNOWN:
+            least[r.kind] = max(least[r.kind], r.step + 1)
+    path = shared.shared_dir(spark)
+    counts.where(F.col("step") >= F.when(F.col("kind") == WORD, least[WORD]).otherwise(least[GRAM])).select("kind", "a", "n").write.parquet(path)
+    shared.forget(counts, spark)
+    return path
+
+
+def _read_known(path: str) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By kind, the hashes, sorted, and the logarithms of their counts."""
+    fs, root = pafs.FileSystem.from_uri(path)
+    files = [f.path for f in fs.get_file_info(pafs.FileSelector(root)) if f.path.endswith(".parquet")]
+    out = {}
+    for kind in (WORD, GRAM):
+        t = ds.dataset(files, filesystem=fs, format="parquet", schema=pa.schema([("kind", pa.int8()), ("a", pa.int64()), ("n", pa.int64())])).to_table(filter=ds.field("kind") == kind)
+        key = t.column("a").to_numpy().view(np.uint64)
+        order = np.argsort(key)
+        out[kind] = key[order], np.log2(np.maximum(t.column("n").to_numpy()[order], 1)).astype(np.float32)
+    return out
 
 
 def _looked_up(known: tuple[np.ndarray, np.ndarray], keys: np.ndarray, otherwise: float) -> np.ndarray:
@@ -150,17 +171,17 @@ def _looked_up(known: tuple[np.ndarray, np.ndarray], keys: np.ndarray, otherwise
     return np.where(known[0][at] == keys, known[1][at], np.float32(otherwise))
 
 
-def _ordered_sets(words: textkit.Words, n: int, known: dict):
+def _ordered_sets(words: textkit.Words, n: int, known: dict, total: float):
     """(n-grams, ptr) of the sets, each in the common order: expected number of documents, then hash."""
     g, ptr = textkit.grams(words, n)
     many = np.diff(ptr)
     doc = np.repeat(np.arange(len(many)), many)
     first = np.arange(len(g)) - np.repeat(ptr[:-1] - words.ptr[:-1], many)
-    f = _looked_up(known["word"], words.hash, 0.0)
-    e = np.full(len(g), -(n - 1) * known["total"], np.float32)  # words as if independent
+    f = _looked_up(known[WORD], words.hash, 0.0)
+    e = np.full(len(g), -(n - 1) * total, np.float32)  # words as if independent
     for k in range(n):
         e += f[np.minimum(first + k, len(f) - 1)] if len(f) else 0
-    e = np.maximum(e, _looked_up(known["gram"], g, -99))
+    e = np.maximum(e, _looked_up(known[GRAM], g, -99))
     e[np.repeat(words.count < n, many)] = -8
     place = np.clip((np.maximum(e, -8) + 8) * 6, 0, 255).astype(np.uint64) << np.uint64(56)
     order = np.argsort(place | g >> np.uint64(8))
@@ -171,15 +192,16 @@ def _ordered_sets(words: textkit.Words, n: int, known: dict):
     return g[new], np.concatenate(([0], np.cumsum(np.bincount(doc[new], minlength=len(many)))))
 
 
-def _prefixes(n: int, t: float, known: dict, buckets: int):
+def _prefixes(n: int, t: float, path: str, total: float, buckets: int):
     """A row for each bucket that a slice of texts has n-grams for: n-grams with their places (up to 65,535), by set; set ids, sizes, and the number of n-grams of each."""
 
     @shared.released
     def prefixes(batches):
+        known = _read_known(path)
         for b in batches:
             texts = b.column("text")
             for at, to in textkit.slices(texts):
-                g, ptr = _ordered_sets(textkit.Words(texts.slice(at, to - at)), n, known)
+                g, ptr = _ordered_sets(textkit.Words(texts.slice(at, to - at)), n, known, total)
                 sid, size = _set_ids(g, ptr), np.diff(ptr)
                 _, one = np.unique(sid, return_index=True)  # equal sets of a slice go once
                 one = one[size[one] > 0]
@@ -465,13 +487,12 @@ def _joined(docs: DataFrame, n: int, t: float, pairs: bool) -> tuple[DataFrame,
     counts = records.where(F.col("kind") != DOCUMENT).groupBy("kind", "a").agg(F.sum("n").alias("n"))
     documents = records.where(F.col("kind") == DOCUMENT)
     total, grams = documents.agg(F.count("*"), F.sum("n")).first()
-    known = {"word": _known(counts, WORD), "gram": _known(counts, GRAM)}
-    known["total"] = float(np.log2(max(2, grams or 0)))
+    known = _keep_known(counts, spark)
     members = documents.select(F.col("a").alias("doc_id"), F.col("b").alias("sid"), F.col("n").alias("size")).distinct()
     sets = members.where("size > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     sets = shared.persist_shared(sets, spark)
     buckets = max(12, -(-int((grams or 0) * (1 - t) + (total or 0)) * POSTING_BYTES // BUCKET_BYTES))
-    posted = docs.select("text").mapInArrow(_prefixes(n, t, known, buckets), "bucket int, keys binary, places binary, sids binary, sizes binary, counts binary")
+    posted = docs.select("text").mapInArrow(_prefixes(n, t, known, float(np.log2(max(2, grams or 0))), buckets), "bucket int, keys binary, places binary, sids binary, sizes binary, counts binary")
     found = posted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_candidates(t), "a long, b long, size_a int, size_b int, n int")
     found = found.groupBy("a", "b").agg(F.sum("n").alias("n"), F.first(_enough("size_a", "size_b", t)).alias("enough")).where("n >= enough").select("a", "b")
     found = shared.persist_shared(found, spark)
