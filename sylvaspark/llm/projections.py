@@ -1,8 +1,9 @@
 """Operator 10, embedding near-dedup by sorted projection passes.
 
 In each pass every vector gets a signature of concatenated random hyperplane bits. The vectors are sorted by signature; each is compared
-with the next `window` ones and with all that share its leading bits (its bucket), however many they are, and pairs whose cosine reaches the threshold are kept.
-The verified pairs of all passes are united.
+with the next `window` ones of its range (2^SPAN neighbouring buckets) and with all that share its leading bits (its bucket), however many they are, and pairs whose cosine
+reaches the threshold are kept. The verified pairs of all passes are united. Ranges are fixed by the signature and lie in one partition each, so the result doesn't depend on the
+number of partitions.
 
 The bucket takes log2(n / window) leading bits, so that unrelated vectors fill about a window. A pair at the threshold shares them with a probability that falls with
 n; the number of passes is chosen so that at least 99 of 100 such pairs meet in some pass, in hot groups too. A bucket beyond two blocks is dealt to blocks, and each
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from sylvaspark.llm import components, shared, textkit
 
 THRESHOLD, WINDOW, MISS, BITS = 0.95, 32, 0.01, 63
-BLOCK_BYTES, TILE = 1 << 23, 2048
+BLOCK_BYTES, TILE, SPAN = 1 << 23, 2048, 3
 
 
 def plan_for(n: int, threshold: float, window: int) -> tuple[int, int]:
@@ -117,13 +118,13 @@ def _signatures(width: int, passes: int, bits: int, hot: dict[int, tuple[np.ndar
 
 
 def _sweep(tail, p: np.ndarray, ids: np.ndarray, x: np.ndarray, threshold: float, window: int):
-    """Pairs of each vector with the next `window` ones; the rows that go before the next batch."""
+    """Pairs of each vector with the next `window` ones of the same pass, range and part (the rows of p); the rows that go before the next batch."""
     if tail is not None:
         p, ids, x = (np.concatenate((o, n)) for o, n in zip(tail, (p, ids, x)))
     a, c = [], []
     for d in range(1, min(window, len(ids) - 1) + 1):
         near = np.einsum("ij,ij->i", x[:-d], x[d:])
-        at = np.flatnonzero((near >= threshold) & (p[:-d] == p[d:]) & (ids[:-d] != ids[d:]))
+        at = np.flatnonzero((near >= threshold) & (p[:-d] == p[d:]).all(axis=1) & (ids[:-d] != ids[d:]))
         a.append(ids[at])
         c.append(ids[at + d])
     return (p[-window:], ids[-window:], x[-window:]), np.concatenate(a or [ids[:0]]), np.concatenate(c or [ids[:0]])
@@ -177,8 +178,9 @@ def _neighbours(width: int, threshold: float, window: int, forest: bool):
         for b in batches:
             if not b.num_rows:
                 continue
-            p, ids, x = b.column("pass").to_numpy(), b.column("vec_id").to_numpy(), shared.fixed(b, "v", np.float32, width)
-            key = np.stack((p.astype(np.int64), b.column("bucket").to_numpy(), b.column("part").to_numpy()), axis=1)
+            ids, x = b.column("vec_id").to_numpy(), shared.fixed(b, "v", np.float32, width)
+            key = np.stack((b.column("pass").to_numpy().astype(np.int64), b.column("bucket").to_numpy(), b.column("part").to_numpy()), axis=1)
+            p = key >> np.array([0, SPAN, 0])
             starts = np.concatenate(([0], np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, [len(key)]))
             for s, e in zip(starts[:-1], starts[1:]):
                 if held and (key[s] != last).any():
@@ -209,7 +211,8 @@ def near_pairs(table: DataFrame, threshold: float = THRESHOLD, window: int = WIN
     large = sizes.where(F.col("n") > 2 * block).orderBy("pass", "bucket").toPandas()  # at most one for 2 * block rows of a pass
     hot = {int(p): (g["bucket"].to_numpy(np.int64), -(-g["n"].to_numpy(np.int64) // block)) for p, g in large.groupby("pass")}
     signed = rows.mapInArrow(_signatures(width, passes, bits, hot), "pass int, bucket long, part long, sig long, vec_id long, v binary")
-    ordered = signed.repartitionByRange(F.col("pass"), F.col("bucket"), F.col("part")).sortWithinPartitions("pass", "bucket", "part", "sig", "vec_id")
+    reach = F.shiftright("bucket", SPAN)
+    ordered = signed.repartitionByRange(F.col("pass"), reach, F.col("part")).sortWithinPartitions(F.col("pass"), reach, F.col("part"), F.col("sig"), F.col("vec_id"))
     return ordered.mapInArrow(_neighbours(width, threshold, window, forest), "a long, b long")
 
 

@@ -499,6 +499,22 @@ def test_near_pairs_recall(spark):
     assert all(s[a, b] >= 0.95 - 1e-5 for a, b in got)
 
 
+@pytest.mark.parametrize("small", [False, True])
+def test_near_pairs_do_not_depend_on_partitions(spark, monkeypatch, small):
+    if small:  # buckets are dealt to blocks
+        monkeypatch.setattr(projections, "BLOCK_BYTES", 1 << 11)
+        monkeypatch.setattr(projections, "TILE", 16)
+    x = np.concatenate((_vectors(500, 16, 8), np.ones((60, 16), np.float32)))
+    old, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (1, 7, 50):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found.append({(min(r.a, r.b), max(r.a, r.b)) for r in projections.near_pairs(_table(spark, x).repartition(n)).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert found[0] == found[1] == found[2] and {(a, b) for a in range(500, 560) for b in range(a + 1, 560)} <= found[0]
+
+
 def test_near_groups(spark):
     x = _vectors(300, 16, 5)
     out = {r.vec_id: r for r in projections.near_groups(_table(spark, x, [*ODD, (3, [float(a) for a in x[3]], 0, "s")])).collect()}
