@@ -4,14 +4,16 @@ Two documents are linked when the Jaccard index of their sets of word n-grams re
 
 1. Documents with equal sets are one set (its 128-bit sums are equal), with the number of its copies; the lowest id stands for it.
 2. N-grams have one order for all documents, from rare to frequent, by counts over all documents. Two sets that must share `need` n-grams to reach the threshold share k of
-   their first |set| - need + k, for any k; k is 1 + need / 20. Only so many n-grams of each set are sent to buckets by hash. There the shared ones are counted for each
-   two sets whose sizes don't rule the threshold out, and two sets with k are candidates.
-3. Candidates that share their lowest partner are dealt to cells of about `BLOCK` sets, and the bitmaps of each two cells that hold a candidate meet.
-4. There they form signature trees, whose nodes hold the OR of token bitmaps with the ranges of set sizes and bit counts; a dual traversal drops the node pairs
-   whose largest possible overlap is too small. Bitmaps have about four bits for each n-gram, and are folded to the narrowest of those that a tree compares.
-5. The sets that are left meet by the same cells and are verified whole, by 64-bit n-grams.
-
-`classes` gives one row per document, so neither the result nor any table of links grows with the square of a group: two cells give each set its number of links and
+   their first |set| - need + k, for any k; k is 1 + need / 20. Only so many n-grams of each set are sent to buckets by hash.
+3. Each set has a group, which variants of one text have in common, mostly; many sets are their own. In a bucket, each set counts the n-grams that it shares with one set at
+   least of a group whose sizes don't rule the threshold out, and where that comes to k over all buckets, it meets the group. So a cluster of m variants gives m rows for
+   each of its few groups and each bucket, not m * m.
+4. Two groups of which each has sets that meet the other are cut to parts of about `BLOCK` sets, and the bitmaps of each two parts form signature trees, whose nodes hold the
+   OR of token bitmaps with the ranges of set sizes and bit counts; a dual traversal drops the node pairs whose largest possible overlap is too small. Bitmaps have about
+   four bits for each n-gram, and are folded to the narrowest of those that a tree compares.
+5. The sets that are left meet by the same parts and are verified whole, by 64-bit n-grams.
+
+`classes` gives one row per document, so neither the result nor any table of links grows with the square of a group: two parts give each set its number of links and
 the lowest document it hangs together with. `jaccard_join` lists the pairs of representatives.
 
 Defined results
@@ -29,16 +31,17 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.dataset as ds
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sylvaspark.llm import components, shared, textkit
 
 N, THRESHOLD, WORDS64, NARROW, WIDE = 2, 0.5, 8, 7, 16
-LEAF, FANOUT, BLOCK = 16, 8, 128
+LEAF, FANOUT, BLOCK, BLOCK_GRAMS = 16, 8, 1024, 1 << 18
 OFTEN, OFTEN_WORD, COUNTED, KNOWN = 3, 8, 3 << 20, 1 << 20
-BUCKET_BYTES, POSTING_BYTES, HELD, EACH = 20 << 20, 12, 1 << 21, 20
+BUCKET_BYTES, POSTING_BYTES, HELD, EACH, HOT = 20 << 20, 12, 1 << 21, 20, 16
 DOCUMENT, WORD, GRAM = 0, 1, 2
+LOW, HIGH, ALONE = 0, 1, 2
 EPS = 1e-9
 
 
@@ -172,7 +175,7 @@ def _looked_up(known: tuple[np.ndarray, np.ndarray], keys: np.ndarray, otherwise
 
 
 def _ordered_sets(words: textkit.Words, n: int, known: dict, total: float):
-    """(n-grams, ptr) of the sets, each in the common order: expected number of documents, then hash."""
+    """(n-grams, ptr, logarithms of their known counts) of the sets, each in the common order: expected number of documents, then hash."""
     g, ptr = textkit.grams(words, n)
     many = np.diff(ptr)
     doc = np.repeat(np.arange(len(many)), many)
@@ -181,19 +184,37 @@ def _ordered_sets(words: textkit.Words, n: int, known: dict, total: float):
     e = np.full(len(g), -(n - 1) * total, np.float32)  # words as if independent
     for k in range(n):
         e += f[np.minimum(first + k, len(f) - 1)] if len(f) else 0
-    e = np.maximum(e, _looked_up(known[GRAM], g, -99))
+    seen = _looked_up(known[GRAM], g, -99)
+    e = np.maximum(e, seen)
     e[np.repeat(words.count < n, many)] = -8
     place = np.clip((np.maximum(e, -8) + 8) * 6, 0, 255).astype(np.uint64) << np.uint64(56)
     order = np.argsort(place | g >> np.uint64(8))
     order = order[np.argsort(doc[order], kind="stable")]
-    g, doc = g[order], doc[order]
+    g, doc, seen = g[order], doc[order], seen[order]
     new = np.ones(len(g), bool)
     new[1:] = (g[1:] != g[:-1]) | (doc[1:] != doc[:-1])
-    return g[new], np.concatenate(([0], np.cumsum(np.bincount(doc[new], minlength=len(many)))))
+    return g[new], np.concatenate(([0], np.cumsum(np.bincount(doc[new], minlength=len(many))))), seen[new]
+
+
+def _groups(key: np.ndarray, seen: np.ndarray, row: np.ndarray, sid: np.ndarray) -> np.ndarray:
+    """A 32-bit group for each set, from the n-grams of its prefix that HOT documents hold: of those whose counts are of the most common size, as what variants of one text
+    have in common is about equally frequent, the one of least hash. Sets without such n-grams are their own groups. Groups only say which sets are counted together; any
+    groups give the same links."""
+    hot = np.flatnonzero(seen >= np.log2(HOT))
+    row, key, level = row[hot], key[hot], np.minimum(seen[hot] * 2, 63).astype(np.int64)
+    often = np.bincount(row * 64 + level, minlength=64 * len(sid)).reshape(-1, 64)
+    hot = np.flatnonzero(level == often.argmax(axis=1)[row])
+    out = sid.view(np.uint64) >> np.uint64(32)
+    if len(hot):
+        row, key = row[hot], textkit.mix(key[hot]) >> np.uint64(32)
+        at = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
+        out[row[at]] = np.minimum.reduceat(key, at)
+    return out.astype(np.uint32).view(np.int32)
 
 
 def _prefixes(n: int, t: float, path: str, total: float, buckets: int):
-    """A row for each bucket that a slice of texts has n-grams for: n-grams with their places (up to 65,535), by set; set ids, sizes, and the number of n-grams of each."""
+    """A row for each bucket that a slice of texts has n-grams for: 32 bits of n-grams with their places (up to 65,535), by set; set ids, sizes, groups, and the number of
+    n-grams of each. n-grams that only share those bits make more candidates, never fewer."""
 
     @shared.released
     def prefixes(batches):
@@ -201,7 +222,7 @@ def _prefixes(n: int, t: float, path: str, total: float, buckets: int):
         for b in batches:
             texts = b.column("text")
             for at, to in textkit.slices(texts):
-                g, ptr = _ordered_sets(textkit.Words(texts.slice(at, to - at)), n, known, total)
+                g, ptr, seen = _ordered_sets(textkit.Words(texts.slice(at, to - at)), n, known, total)
                 sid, size = _set_ids(g, ptr), np.diff(ptr)
                 _, one = np.unique(sid, return_index=True)  # equal sets of a slice go once
                 one = one[size[one] > 0]
@@ -211,7 +232,9 @@ def _prefixes(n: int, t: float, path: str, total: float, buckets: int):
                 many = size[one] - least + 1 + least // EACH
                 place = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
                 row = np.repeat(np.arange(len(one)), many)
-                key = g[np.repeat(ptr[:-1][one], many) + place]
+                at_key = np.repeat(ptr[:-1][one], many) + place
+                key = g[at_key]
+                group = _groups(key, seen[at_key], row, sid[one])
                 bucket = (key % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
                 order = np.argsort(bucket, kind="stable")
                 bucket, key, row, place = bucket[order], key[order], row[order], np.minimum(place[order], 65_535).astype(np.uint16)
@@ -219,9 +242,9 @@ def _prefixes(n: int, t: float, path: str, total: float, buckets: int):
                 seg = np.flatnonzero(new_bucket | np.concatenate(([True], row[1:] != row[:-1])))
                 starts = np.flatnonzero(new_bucket)
                 own, by_set = np.append(starts, len(key)), np.append(np.searchsorted(seg, starts), len(seg))
-                cols = [shared.binaries(key, own), shared.binaries(place, own)]
-                cols += [shared.binaries(x, by_set) for x in (sid[one][row[seg]], size[one][row[seg]].astype(np.int32), np.diff(np.append(seg, len(key))).astype(np.int32))]
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[starts].astype(np.int32)), *cols], ["bucket", "keys", "places", "sids", "sizes", "counts"])
+                cols = [shared.binaries((key >> np.uint64(32)).astype(np.uint32), own), shared.binaries(place, own)]
+                cols += [shared.binaries(x, by_set) for x in (sid[one][row[seg]], size[one][row[seg]].astype(np.int32), group[row[seg]], np.diff(np.append(seg, len(key))).astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[starts].astype(np.int32)), *cols], ["bucket", "keys", "places", "sids", "sizes", "groups", "counts"])
 
     return prefixes
 
@@ -230,64 +253,80 @@ def _needed(size_a, size_b, t: float) -> np.ndarray:
     return np.ceil(t / (1 + t) * (size_a + size_b) - EPS).astype(np.int64)
 
 
-def _counts(size_a, size_b, place_a, place_b, t: float) -> np.ndarray:
-    """Whether n-grams that sets of those sizes share at those places count: they may be among the first k that they share."""
-    need = _needed(size_a, size_b, t)
-    fits = np.minimum(size_a, size_b) >= t * np.maximum(size_a, size_b) - EPS
-    return fits & (np.minimum(size_a - place_a, size_b - place_b) >= need - need // EACH)
+def _counts(size, place, lo, hi, after, t: float) -> np.ndarray:
+    """Whether an n-gram of a set at that place, which others of sizes lo to hi hold with at most `after` n-grams from there on, counts with one of them: it may be among the
+    first k that the two share."""
+    need = _needed(size, np.maximum(lo, _smallest(size, t)), t)
+    return (hi >= t * size - EPS) & (size >= t * lo - EPS) & (np.minimum(size - place, after) >= need - need // EACH)
+
+
+def _smallest(size, t: float) -> np.ndarray:
+    return np.ceil(t * size - EPS).astype(np.int64)
 
 
 def _candidates(t: float):
-    """(a, b, size_a, size_b, n): the n-grams of some buckets that two sets share and that count."""
+    """(a, own, other, size, n, enough): of the n-grams of some buckets, how many of set a count with one set at least of the group `other`, and how many it has to share
+    with one of them at least. Its own group is `own`, and is met as any other."""
 
     def summed(parts: list) -> tuple[np.ndarray, np.ndarray]:
         u, k = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         return u, np.bincount(k, np.concatenate([p[1] for p in parts]), len(u)).astype(np.int64)
 
-    def emit(parts: list, ids: np.ndarray, sizes: np.ndarray):
+    def emit(parts: list, ids: np.ndarray, sizes: np.ndarray, own: np.ndarray, groups: np.ndarray, least: np.ndarray):
         codes, n = summed(parts)
         for s in range(0, len(codes), 1 << 18):
-            a, b = np.divmod(codes[s : s + (1 << 18)], len(ids))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[a], ids[b], sizes[a], sizes[b], n[s : s + (1 << 18)].astype(np.int32))], ["a", "b", "size_a", "size_b", "n"])
+            a, c = np.divmod(codes[s : s + (1 << 18)], len(groups))
+            enough = 1 + _needed(sizes[a], np.maximum(least[c], _smallest(sizes[a], t)), t) // EACH
+            cols = (ids[a], groups[own[a]], groups[c], sizes[a].astype(np.int32), n[s : s + (1 << 18)].astype(np.int32), enough.astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["a", "own", "other", "size", "n", "enough"])
 
     def of_bucket(g):
-        key, sid, size, count = (shared.ragged(g, c, d)[0] for c, d in (("keys", np.uint64), ("sids", np.int64), ("sizes", np.int32), ("counts", np.int32)))
+        key, sid, size, group, count = (shared.ragged(g, c, d)[0] for c, d in (("keys", np.uint32), ("sids", np.int64), ("sizes", np.int32), ("groups", np.int32), ("counts", np.int32)))
         place = shared.ragged(g, "places", np.uint16)[0]
         ids, first, sid = np.unique(sid, return_index=True, return_inverse=True)
-        sizes = size[first]
-        sid, size = np.repeat(sid, count), np.repeat(size, count)
-        order = np.argsort(key, kind="stable")
-        at = np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1])))
-        many = np.diff(np.append(at, len(order)))
+        sizes = size[first].astype(np.int64)
+        groups, own = np.unique(group[first], return_inverse=True)
+        least = np.full(len(groups), 1 << 62)
+        np.minimum.at(least, own, sizes)
+        once = np.zeros(len(sid), bool)
+        once[first] = True  # equal sets of several slices
+        at = np.flatnonzero(np.repeat(once, count))
+        sid = np.repeat(sid, count)[at]
+        key, place = key[at], place[at].astype(np.int64)
+        order = np.argsort(key.astype(np.uint64) << np.uint64(32) | own[sid].astype(np.uint64))
+        key, sid, place = key[order], sid[order], place[order]
+        many = np.diff(np.append(np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))), len(key)))
         keep = np.repeat(many > 1, many)
-        order = order[keep]
-        order = order[np.lexsort((sid[order], key[order]))]
-        new = np.ones(len(order), bool)
-        new[1:] = (key[order][1:] != key[order][:-1]) | (sid[order][1:] != sid[order][:-1])
-        order = order[new]
-        key, sid, size, place = key[order], sid[order].astype(np.int64), size[order].astype(np.int64), place[order].astype(np.int64)
-        ends = np.append(np.flatnonzero(key[1:] != key[:-1]) + 1, len(key))
-        left = np.repeat(ends, np.diff(np.concatenate(([0], ends)))) - np.arange(len(key)) if len(key) else np.zeros(0, np.int64)
-        parts, held, d = [], 0, 1
-        live = np.flatnonzero(left > d)
-        while len(live):
-            for s in range(0, len(live), 1 << 18):
-                x = live[s : s + (1 << 18)]
-                y = x + d
-                ok = _counts(size[x], size[y], place[x], place[y], t)
-                codes = sid[x[ok]] * len(ids) + sid[y[ok]]
-                parts.append((codes, np.ones(len(codes), np.int64)))
-                held += len(codes)
+        if not keep.any():
+            return
+        key, sid, place = key[keep], sid[keep], place[keep]
+        size, group = sizes[sid], own[sid]
+        new_key = np.concatenate(([True], key[1:] != key[:-1]))
+        new = new_key | np.concatenate(([True], group[1:] != group[:-1]))
+        at = np.flatnonzero(new)  # the postings of a key and a group
+        members, lo, hi, after = np.diff(np.append(at, len(key))), np.minimum.reduceat(size, at), np.maximum.reduceat(size, at), np.maximum.reduceat(size - place, at)
+        of = np.cumsum(new) - 1
+        begin = np.append(np.flatnonzero(new_key[at]), len(at))  # the groups of a key
+        run = np.cumsum(new_key) - 1
+        begin, many = begin[run], np.diff(begin)[run]
+        ends = np.cumsum(many)
+        parts, held, s = [], 0, 0
+        while s < len(key):
+            e = max(s + 1, int(np.searchsorted(ends, (ends[s - 1] if s else 0) + (1 << 18), "right")))
+            x = np.repeat(np.arange(s, e), many[s:e])
+            y = np.arange(len(x)) - np.repeat(ends[s:e] - many[s:e] - ends[s] + many[s], many[s:e]) + begin[x]
+            ok = _counts(size[x], place[x], lo[y], hi[y], after[y], t) & ((of[x] != y) | (members[y] > 1))
+            parts.append(np.unique(sid[x[ok]] * len(groups) + group[at[y[ok]]], return_counts=True))
+            held += len(parts[-1][0])
             if held > HELD:
                 parts = [summed(parts)]
                 held = len(parts[0][0])
                 if held > HELD // 2:
-                    yield from emit(parts, ids, sizes)
+                    yield from emit(parts, ids, sizes, own, groups, least)
                     parts, held = [], 0
-            d += 1
-            live = live[left[live] > d]
+            s = e
         if held:
-            yield from emit(parts, ids, sizes)
+            yield from emit(parts, ids, sizes, own, groups, least)
 
     @shared.released
     def candidates(batches):
@@ -300,10 +339,33 @@ def _candidates(t: float):
     return candidates
 
 
-def _enough(size_a: str, size_b: str, t: float) -> "F.Column":
-    """n-grams that count which two sets share at least where they reach the threshold."""
-    need = F.ceil(F.lit(t / (1 + t)) * (F.col(size_a) + F.col(size_b)) - F.lit(EPS))
-    return 1 + F.floor(need / EACH)
+def _found(docs: DataFrame, n: int, t: float, known: str, total: int, grams: int) -> DataFrame:
+    """What _candidates finds in each bucket of documents with so many n-grams."""
+    buckets = max(12, -(-int(grams * (1 - t) + total) * POSTING_BYTES // BUCKET_BYTES))
+    posted = docs.select("text").mapInArrow(_prefixes(n, t, known, float(np.log2(max(2, grams))), buckets), "bucket int, keys binary, places binary, sids binary, sizes binary, groups binary, counts binary")
+    return posted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_candidates(t), "a long, own int, other int, size int, n int, enough int")
+
+
+def _met(found: DataFrame) -> DataFrame:
+    """(sid, met): of sets (a, own, other, size) that meet groups, the keys of the parts of groups that they meet in, each with the set's side. A group is cut to parts of at most
+    BLOCK sets and BLOCK_GRAMS n-grams or so; where no set of the other group came, there is no key."""
+    own, other = F.col("own").cast("long"), F.col("other").cast("long")
+    side = F.when(own == other, ALONE).when(own < other, LOW).otherwise(HIGH).cast("byte")
+    key = F.call_function("shiftleft", F.least(own, other), F.lit(32)).bitwiseOR(F.greatest(own, other).bitwiseAND(F.lit(0xFFFFFFFF)))
+    rows = found.select(key.alias("key"), F.col("a").alias("sid"), side.alias("side"), "size")
+    by = Window.partitionBy("key")
+    for s in (LOW, HIGH, ALONE):
+        one = F.when(F.col("side") == s, 1)
+        rows = rows.withColumn(f"n{s}", F.count(one).over(by))
+        rows = rows.withColumn(f"b{s}", F.greatest(F.ceil(F.col(f"n{s}") / BLOCK), F.ceil(F.sum(one * F.col("size")).over(by) / BLOCK_GRAMS)))
+    rows = rows.where(f"n{ALONE} > 1 OR (n{LOW} > 0 AND n{HIGH} > 0)")
+    part = lambda b: F.pmod(F.xxhash64("sid"), F.col(b)).cast("long")
+    every = lambda b, f: F.transform(F.sequence(F.lit(0).cast("long"), F.col(b) - 1), f)
+    alone = every(f"b{ALONE}", lambda j: F.struct(F.xxhash64("key", F.least(j, part(f"b{ALONE}")), F.greatest(j, part(f"b{ALONE}"))).alias("key"), F.when(j == part(f"b{ALONE}"), ALONE).when(j > part(f"b{ALONE}"), LOW).otherwise(HIGH).cast("byte").alias("side")))
+    low = every(f"b{HIGH}", lambda j: F.struct(F.xxhash64("key", part(f"b{LOW}"), j).alias("key"), F.col("side")))
+    high = every(f"b{LOW}", lambda i: F.struct(F.xxhash64("key", i, part(f"b{HIGH}")).alias("key"), F.col("side")))
+    rows = rows.select("sid", F.when(F.col("side") == ALONE, alone).when(F.col("side") == LOW, low).otherwise(high).alias("met"))
+    return rows.groupBy("sid").agg(F.flatten(F.collect_list("met")).alias("met"))
 
 
 def _possible(lo_a, hi_a, pop_a, lo_b, hi_b, pop_b, common, t):
@@ -351,12 +413,12 @@ def tree_pairs(size: np.ndarray, sig: np.ndarray, t: float) -> tuple[np.ndarray,
 
 
 def _prune(t: float):
-    """Of the bitmaps of each two cells, rows (key, sid, cell) of those that may have a partner."""
+    """Of the bitmaps of each two parts of groups, rows (key, sid, side) of those that may have a partner."""
     apart = int(np.ceil(np.log2(1 / t) - EPS))  # sets at the threshold have widths that many steps apart at most
 
-    def of_key(sid, cell, size, rows, sigs):
+    def of_key(side, size, rows, sigs):
         width = np.array([len(sigs[r]) for r in rows])
-        hit = np.zeros(len(sid), bool)
+        hit = np.zeros(len(side), bool)
         for w in np.unique(width):
             some = np.flatnonzero((width >= w) & (width <= w << apart))
             if len(some) < 2:
@@ -364,29 +426,29 @@ def _prune(t: float):
             sig = np.stack([np.bitwise_or.reduce(sigs[rows[i]].reshape(-1, w), axis=0) for i in some]).view(np.uint64)
             x, y = tree_pairs(size[some], sig, t)
             x, y = some[x], some[y]
-            ok = (np.minimum(width[x], width[y]) == w) & ((cell[x] != cell[y]) | (cell.min() == cell.max()))
+            ok = (np.minimum(width[x], width[y]) == w) & ((side[x] != side[y]) | (side[x] == ALONE))
             hit[x[ok]] = hit[y[ok]] = True
         return np.flatnonzero(hit)
 
     @shared.released
     def prune(batches):
         for g in shared.grouped(batches):
-            key, sid, cell, size = (shared.column(g, c).to_numpy() for c in ("key", "sid", "cell", "size"))
+            key, sid, side, size = (shared.column(g, c).to_numpy() for c in ("key", "sid", "side", "size"))
             raw, ptr = shared.ragged(g, "sig", np.uint8)
             sigs = [raw[i:j] for i, j in zip(ptr[:-1].tolist(), ptr[1:].tolist())]
             starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
             for s, e in zip(starts, np.append(starts[1:], len(key))):
                 _, first = np.unique(sid[s:e], return_index=True)
                 first += s
-                keep = first[of_key(sid[first], cell[first], size[first].astype(np.int64), first, sigs)]
+                keep = first[of_key(side[first], size[first].astype(np.int64), first, sigs)]
                 if len(keep):
-                    yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (key, sid, cell)], ["key", "sid", "cell"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (key, sid, side)], ["key", "sid", "side"])
 
     return prune
 
 
 def _sets(n: int):
-    """The sets asked for, once for each pair of cells: rows (doc_id, text, wanted) -> (key, sid, cell, rep, copies, grams)."""
+    """The sets asked for, once for each key: rows (doc_id, text, wanted) -> (key, sid, side, rep, copies, grams)."""
 
     @shared.released
     def sets(batches):
@@ -396,12 +458,12 @@ def _sets(n: int):
                 g, ptr = _unique_sets(*textkit.grams(textkit.Words(texts.slice(at, to - at)), n))
                 sid, packed, wanted = _set_ids(g, ptr), shared.binaries(g, ptr), b.column("wanted").slice(at, to - at)
                 row = np.repeat(np.arange(to - at), np.diff(wanted.offsets.to_numpy()))
-                key, own, cell, copies = (wanted.flatten().field(c) for c in ("key", "sid", "cell", "copies"))
+                key, own, side, copies = (wanted.flatten().field(c) for c in ("key", "sid", "side", "copies"))
                 keep = np.flatnonzero(own.to_numpy() == sid[row])  # of an id with several texts, the one that is meant
                 for s in range(0, len(keep), 1000):
                     k = pa.array(keep[s : s + 1000])
                     r = pa.array(row[keep[s : s + 1000]])
-                    yield pa.RecordBatch.from_arrays([key.take(k), own.take(k), cell.take(k), b.column("doc_id").slice(at, to - at).take(r), copies.take(k), packed.take(r)], ["key", "sid", "cell", "rep", "copies", "grams"])
+                    yield pa.RecordBatch.from_arrays([key.take(k), own.take(k), side.take(k), b.column("doc_id").slice(at, to - at).take(r), copies.take(k), packed.take(r)], ["key", "sid", "side", "rep", "copies", "grams"])
 
     return sets
 
@@ -422,20 +484,19 @@ def _overlaps(local: np.ndarray, ptr: np.ndarray, x: np.ndarray, y: np.ndarray,
 
 
 def _verify(t: float, pairs: bool):
-    """Of the sets of each two cells, the pairs (doc_a, doc_b, jaccard), or rows (sid, rep, links, root): the links of each set, copies counted, and the lowest
+    """Of the sets of each two parts of groups, the pairs (doc_a, doc_b, jaccard), or rows (sid, rep, links, root): the links of each set, copies counted, and the lowest
     representative that it hangs together with."""
 
-    def of_key(sid, cell, rep, copies, grams, ptr):
+    def of_key(sid, side, rep, copies, grams, ptr):
         _, first = np.unique(sid, return_index=True)
-        sid, cell, rep, copies = sid[first], cell[first], rep[first], copies[first]
+        sid, side, rep, copies = sid[first], side[first], rep[first], copies[first]
         size = ptr[first + 1] - ptr[first]
         tokens = np.concatenate([grams[ptr[r] : ptr[r + 1]] for r in first])
         vocabulary, local = np.unique(tokens, return_inverse=True)
         at = np.concatenate(([0], np.cumsum(size)))
         x, y = tree_pairs(size, _bitmaps(local, at), t)
-        if cell.min() != cell.max():  # pairs within a cell meet at its own key
-            across = cell[x] != cell[y]
-            x, y = x[across], y[across]
+        across = (side[x] != side[y]) | (side[x] == ALONE)  # pairs within a part meet at its own key
+        x, y = x[across], y[across]
         order = np.argsort(x, kind="stable")
         x, y = x[order], y[order]
         hit = _overlaps(local, at, x, y, len(vocabulary))
@@ -457,13 +518,13 @@ def _verify(t: float, pairs: bool):
     @shared.released
     def verify(batches):
         for g in shared.grouped(batches):
-            key, sid, cell, rep, copies = (shared.column(g, c).to_numpy() for c in ("key", "sid", "cell", "rep", "copies"))
+            key, sid, side, rep, copies = (shared.column(g, c).to_numpy() for c in ("key", "sid", "side", "rep", "copies"))
             grams, ptr = shared.ragged(g, "grams", np.uint64)
             starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
             for s, e in zip(starts, np.append(starts[1:], len(key))):
                 if e - s < 2:
                     continue
-                ids, reps, many, x, y, j = of_key(sid[s:e], cell[s:e], rep[s:e], copies[s:e], grams, ptr[s : e + 1])
+                ids, reps, many, x, y, j = of_key(sid[s:e], side[s:e], rep[s:e], copies[s:e], grams, ptr[s : e + 1])
                 if not len(x):
                     continue
                 if pairs:
@@ -491,24 +552,15 @@ def _joined(docs: DataFrame, n: int, t: float, pairs: bool) -> tuple[DataFrame,
     members = documents.select(F.col("a").alias("doc_id"), F.col("b").alias("sid"), F.col("n").alias("size")).distinct()
     sets = members.where("size > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     sets = shared.persist_shared(sets, spark)
-    buckets = max(12, -(-int((grams or 0) * (1 - t) + (total or 0)) * POSTING_BYTES // BUCKET_BYTES))
-    posted = docs.select("text").mapInArrow(_prefixes(n, t, known, float(np.log2(max(2, grams or 0))), buckets), "bucket int, keys binary, places binary, sids binary, sizes binary, counts binary")
-    found = posted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_candidates(t), "a long, b long, size_a int, size_b int, n int")
-    found = found.groupBy("a", "b").agg(F.sum("n").alias("n"), F.first(_enough("size_a", "size_b", t)).alias("enough")).where("n >= enough").select("a", "b")
-    found = shared.persist_shared(found, spark)
-    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label"))
-    blocks = labels.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    cells = shared.persist_shared(labels.join(blocks, "label").select(F.col("a").alias("sid"), F.xxhash64("label", F.pmod(F.xxhash64("a"), "blocks")).alias("cell")), spark)
-    ends = found.join(cells.select(F.col("sid").alias("a"), F.col("cell").alias("cell_a")), "a").join(cells.select(F.col("sid").alias("b"), F.col("cell").alias("cell_b")), "b")
-    ends = ends.withColumn("key", F.xxhash64(F.least("cell_a", "cell_b"), F.greatest("cell_a", "cell_b")))
-    wanted = ends.select("key", F.inline(F.array(F.struct(F.col("a").alias("sid"), F.col("cell_a").alias("cell")), F.struct(F.col("b").alias("sid"), F.col("cell_b").alias("cell"))))).distinct()
-    bitmaps = documents.select(F.col("a").alias("rep"), F.col("b").alias("sid"), F.col("n").alias("size"), "sig")
-    met = wanted.join(sets.drop("copies"), "sid").join(bitmaps, ["rep", "sid"]).select("key", "sid", "cell", "size", "sig")
-    left = met.repartition("key").sortWithinPartitions("key").mapInArrow(_prune(t), "key long, sid long, cell long")
-    wanted = left.join(sets, "sid").groupBy(F.col("rep").alias("doc_id")).agg(F.collect_list(F.struct("key", "sid", "cell", "copies")).alias("wanted"))
+    found = _found(docs, n, t, known, total or 0, grams or 0).repartition("a")  # the rows of a set lie side by side
+    found = found.groupBy("a", "own", "other", "size").agg(F.sum("n").alias("n"), F.min("enough").alias("enough")).where("n >= enough")
+    wanted = shared.persist_shared(_met(found).join(sets.drop("copies"), "sid").withColumnRenamed("rep", "doc_id"), spark)
+    bitmaps = shared.among(documents.select(F.col("a").alias("doc_id"), F.col("b").alias("sid"), F.col("n").alias("size"), "sig"), wanted)
+    met = wanted.join(bitmaps, ["doc_id", "sid"]).select("sid", "size", "sig", F.inline("met")).select("key", "sid", "side", "size", "sig")
+    left = met.repartition("key").sortWithinPartitions("key").mapInArrow(_prune(t), "key long, sid long, side byte")
+    wanted = left.join(sets, "sid").groupBy(F.col("rep").alias("doc_id")).agg(F.collect_list(F.struct("key", "sid", "side", "copies")).alias("wanted"))
     wanted = shared.persist_shared(wanted, spark)
-    met = shared.among(docs, wanted).join(wanted, "doc_id").select("doc_id", "text", "wanted").mapInArrow(_sets(n), "key long, sid long, cell long, rep long, copies long, grams binary")
+    met = shared.among(docs, wanted).join(wanted, "doc_id").select("doc_id", "text", "wanted").mapInArrow(_sets(n), "key long, sid long, side byte, rep long, copies long, grams binary")
     schema = "doc_a long, doc_b long, jaccard double" if pairs else "sid long, rep long, links long, root long"
     return members.join(sets, "sid", "left"), met.repartition("key").sortWithinPartitions("key").mapInArrow(_verify(t, pairs), schema)
 

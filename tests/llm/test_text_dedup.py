@@ -103,6 +103,31 @@ def classes_by_force(rows):
     return {i: (min(s), links[i]) for i, s in group.items()}
 
 
+def variants(count, seed=5):
+    rng = np.random.default_rng(seed)
+    w = [f"w{x}" for x in rng.integers(0, 5000, 120)]
+    return [(k, " ".join(f"e{rng.integers(0, 2000)}" if rng.random() < 0.08 else x for x in w)) for k in range(count)]
+
+
+def test_candidates_of_a_cluster_are_not_its_pairs(spark, tmp_path):
+    """A cluster of variants gives rows by set and group: its pairs grew with its square, and came once for each bucket."""
+    rows = variants(400)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    records = docs.mapInArrow(jaccard._records(2), "kind byte, a long, b long, n int, sig binary")
+    known = jaccard._keep_known(records.where("kind <> 0").groupBy("kind", "a").agg(F.sum("n").alias("n")), spark)
+    found = jaccard._found(docs, 2, 0.5, known, len(rows), sum(len(grams(t, 2)) for _, t in rows))
+    assert found.count() < 400 * 399 // 2
+    assert found.select("a").distinct().count() == 400
+
+
+@pytest.mark.parametrize("block", [1024, 7])
+def test_links_of_a_cluster_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    rows = variants(90) + variants(40, 6)[:30]
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    assert {r.doc_id: (r.class_id, r.n_links) for r in jaccard.classes(frame(spark, rows)).collect()} == classes_by_force(rows)
+
+
 @pytest.mark.parametrize("block, known", [(128, 1 << 17), (4, 3)])
 def test_jaccard_join_equals_brute_force(spark, monkeypatch, block, known):
     monkeypatch.setattr(jaccard, "BLOCK", block)
