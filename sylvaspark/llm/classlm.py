@@ -14,11 +14,14 @@ Defined results
   and null ids included (and repeated rows count as often as they come); other columns are ignored; an empty table gives no rows.
 - Words equally frequent rank by their hash, so the result doesn't depend on the partitions.
 Vocabulary, classes and core follow from the counts: classes grow with the power 0.3 of the vocabulary from 48, the core is ten words a class, from 512.
-The driver and each executor hold the vocabulary's hashes, classes and emissions (24 bytes a word); the neighbours' counts stay in the table.
+The vocabulary and its classes are tables in the shared folder. Tasks read them, and hold hashes with their starts, counts, classes and emissions (40 bytes a word); the driver holds what
+follows from the number of classes only: counts of the core (core * core at most) and of class bigrams, and transitions.
 """
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as ds
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,12 +44,55 @@ def _emit(parts: list, names: list[str], split):
             yield pa.RecordBatch.from_arrays([*map(pa.array, split(keys[e])), pa.array(counts[e])], names)
 
 
-def _counting(codes, names: list[str], split, most: int = 1 << 20):
-    """Counts of the codes that codes(words) yields, summed inside a partition while they fit."""
+def _columns(df: DataFrame) -> list[np.ndarray]:
+    """A small table's columns on the driver, without an object for each row."""
+    return [c.combine_chunks().to_numpy(zero_copy_only=False) for c in df.toArrow().columns]
+
+
+def _written(df: DataFrame, spark: SparkSession) -> str:
+    path = shared.shared_dir(spark)
+    df.write.parquet(path)
+    return path
+
+
+def _read(path: str, **columns: pa.DataType) -> list[np.ndarray]:
+    """The columns of a table in the shared folder."""
+    fs, root = pafs.FileSystem.from_uri(path)
+    files = [f.path for f in fs.get_file_info(pafs.FileSelector(root)) if f.path.endswith(".parquet")]
+    t = ds.dataset(files, filesystem=fs, format="parquet", schema=pa.schema(list(columns.items()))).to_table()
+    return [t.column(c).to_numpy() for c in columns]
+
+
+def _loaded(model: dict) -> dict:
+    """The model with its vocabulary, counts n and classes, from the shared folder. A word without a class has -1 while the classes are being made."""
+    word, n = _read(model["words"], word=pa.int64(), n=pa.int64())
+    word = word.view(np.uint64)
+    order = np.argsort(word)
+    vocab, of = word[order], np.full(len(word), -1)
+    of[np.searchsorted(vocab, model["core"])] = model["core_class"]
+    for path in model["assigned"]:
+        at, k = _read(path, word=pa.int32(), **{"class": pa.int32()})
+        of[at] = k
+    return model | {"vocab": vocab, "starts": _starts(vocab), "n": n[order], "class": np.maximum(of, 0) if model["whole"] else of}  # 0: a word without any neighbour
+
+
+def _with_emissions(model: dict) -> dict:
+    model, classes = _loaded(model), model["classes"]
+    in_class = np.bincount(model["class"], minlength=classes)
+    members = np.bincount(model["class"], model["n"], classes)
+    if len(model["vocab"]):
+        model["emit"] = np.log(model["n"] + 0.5) - np.log(members + 0.5 * in_class)[model["class"]]
+    else:
+        model["emit"] = np.zeros(0)
+    return model
+
+
+def _counting(prepare, names: list[str], split, most: int = 1 << 20):
+    """Counts of the codes that codes(words) yields, summed inside a partition while they fit; a task makes codes by prepare()."""
 
     @shared.released
     def counting(batches):
-        parts, held = [], 0
+        parts, held, codes = [], 0, prepare()
         for b in batches:
             for at, to in textkit.slices(b.column("text")):
                 c = codes(textkit.Words(b.column("text").slice(at, to - at)))
@@ -124,17 +170,22 @@ def _beside(docs: DataFrame, model: dict) -> DataFrame:
     """(word, near): of each vocabulary word, counts (code, n) of its neighbours' classes, before it, after it and of itself. Neighbours without a class are left out."""
     total = model["classes"] + RARE + 1
 
-    def codes(w):
-        i, c = _classes_of(model, w)
-        before, inner = _before(model, w, c), np.flatnonzero(_neighbours(w))
-        same = np.zeros(len(i), bool)
-        same[inner] = (i[inner] == i[inner - 1]) & (i[inner] >= 0)
-        at = np.flatnonzero((i >= 0) & (before >= 0) & ~same)
-        to = inner[(i[inner - 1] >= 0) & (c[inner] >= 0) & ~same[inner]]
-        return np.concatenate((i[at] * 3 * total + before[at], (i[to - 1] * 3 + 1) * total + c[to], (i[same] * 3 + 2) * total))
+    def prepare():
+        whole = _loaded(model)
+
+        def codes(w):
+            i, c = _classes_of(whole, w)
+            before, inner = _before(whole, w, c), np.flatnonzero(_neighbours(w))
+            same = np.zeros(len(i), bool)
+            same[inner] = (i[inner] == i[inner - 1]) & (i[inner] >= 0)
+            at = np.flatnonzero((i >= 0) & (before >= 0) & ~same)
+            to = inner[(i[inner - 1] >= 0) & (c[inner] >= 0) & ~same[inner]]
+            return np.concatenate((i[at] * 3 * total + before[at], (i[to - 1] * 3 + 1) * total + c[to], (i[same] * 3 + 2) * total))
+
+        return codes
 
     split = lambda k: ((k // (3 * total)).astype(np.int32), (k % (3 * total)).astype(np.int32))
-    rows = docs.mapInArrow(_counting(codes, ["word", "code", "n"], split), "word int, code int, n long")
+    rows = docs.mapInArrow(_counting(prepare, ["word", "code", "n"], split), "word int, code int, n long")
     return rows.groupBy("word").agg(F.collect_list(F.struct("code", "n")).alias("near"))
 
 
@@ -147,12 +198,14 @@ def _near(batch, total: int) -> tuple[np.ndarray, np.ndarray]:
     return batch.column("word").to_numpy(), x.reshape(len(near), 3, total)
 
 
-def _class_counts(of: np.ndarray, classes: int):
+def _class_counts(model: dict):
     """Bigrams of classes of which at least one word is of the vocabulary."""
+    classes = model["classes"]
     total = classes + RARE + 1
 
     @shared.released
     def counts(batches):
+        of = _loaded(model)["class"]
         N = np.zeros((total, total))
         for b in batches:
             word, x = _near(b, total)
@@ -168,11 +221,16 @@ def _class_counts(of: np.ndarray, classes: int):
     return counts
 
 
-def _assigned(of: np.ndarray, fixed: np.ndarray, N: np.ndarray, classes: int, last: bool, step: int = 128):
+def _assigned(model: dict, N: np.ndarray, last: bool, step: int = 128):
     """(word, class): the class that each word that isn't fixed fits best, once taken out of its own. Before the last round, words without a neighbour in a class wait."""
 
+    classes = model["classes"]
+
     @shared.released
     def assigned(batches):
+        whole = _loaded(model)
+        of, fixed = whole["class"], np.zeros(len(whole["vocab"]), bool)
+        fixed[np.searchsorted(whole["vocab"], model["core"])] = True
         for b in batches:
             words, near = _near(b, len(N))
             keep = ~fixed[words] & (last | near[:, :2, :classes].any(axis=(1, 2)))
@@ -193,81 +251,98 @@ def _assigned(of: np.ndarray, fixed: np.ndarray, N: np.ndarray, classes: int, la
     return assigned
 
 
-def fit(docs: DataFrame, vocabulary: int | None = None, core: int | None = None, classes: int | None = None) -> dict:
-    """Counts the corpus and returns the model; its size follows from the counts where none is given."""
+def _fitted(docs: DataFrame, vocabulary: int | None = None, core: int | None = None, classes: int | None = None) -> dict:
+    """Counts the corpus and returns the model, whose vocabulary is in the shared folder; its size follows from the counts where none is given."""
     docs = shared.documents(docs, "text")
     spark = SparkSession.active()
     of_length = lambda w: w.hash & ~np.uint64(RARE - 1) | _length_class(w).astype(np.uint64)
-    counts = docs.mapInArrow(_counting(of_length, ["word", "n"], lambda k: (textkit.signed(k),)), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = docs.mapInArrow(_counting(lambda: of_length, ["word", "n"], lambda k: (textkit.signed(k),)), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counts = shared.persist_shared(counts, spark)
-    frequent = counts.where(F.col("n") >= LEAST) if vocabulary is None else counts.orderBy(F.desc("n"), "word").limit(vocabulary)
-    top = frequent.toPandas().sort_values(["n", "word"], ascending=[False, True])
-    rare = np.zeros(RARE, np.int64)
-    for k, types in counts.groupBy(F.col("word").bitwiseAND(RARE - 1).alias("k")).count().collect():
-        rare[k] = types
+    words = _written(counts.where(F.col("n") >= LEAST) if vocabulary is None else counts.orderBy(F.desc("n"), "word").limit(vocabulary), spark)
+    frequent = spark.read.schema(counts.schema).parquet(words)
+    rare, V = np.zeros(RARE, np.int64), 0
+    for df, sign in ((counts, 1), (frequent, -1)):
+        for k, types in df.groupBy(F.col("word").bitwiseAND(RARE - 1).alias("k")).count().collect():
+            rare[k] += sign * types
+            V += types if df is frequent else 0
     shared.forget(counts, spark)
-    word, n = top["word"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
-    rare -= np.bincount((word & np.uint64(RARE - 1)).astype(np.int64), minlength=RARE)
-    by_hash = np.argsort(word, kind="stable")
-    vocab, n = word[by_hash], n[by_hash]
-    rank = by_hash.astype(np.int64)  # place in the order of frequency
-    V = len(vocab)
     classes = max(CLASSES, round(V**0.3)) if classes is None else classes
     core = min(max(CORE, 10 * classes) if core is None else core, V)
     classes = max(1, min(classes, core))
+    top = np.array([r.word for r in frequent.orderBy(F.desc("n"), "word").limit(core).collect()], np.int64).view(np.uint64)
+    by_hash = np.argsort(top)
+    sorted_top = top[by_hash]
 
     def pairs(w):
-        i = _lookup_key(w, vocab)
+        i = _lookup_key(w, sorted_top)
         at = np.flatnonzero(_neighbours(w))
         a, b = i[at - 1], i[at]
         ok = (a >= 0) & (b >= 0)
-        a, b = rank[a[ok]], rank[b[ok]]
-        ok = (a < core) & (b < core)
-        return a[ok] * core + b[ok]
+        return by_hash[a[ok]] * core + by_hash[b[ok]]
 
-    of = np.full(V, -1)
-    model = {"vocab": vocab, "class": of, "classes": classes}
+    def counted(codes, rows: int) -> np.ndarray:
+        code, n = _columns(codes.groupBy("code").agg(F.sum("n").alias("n")))
+        out = np.zeros(rows)
+        out[code] = n
+        return out
+
+    total = classes + RARE + 1  # the last one is the border
+    model = {"words": words, "core": top, "core_class": np.zeros(0, np.int64), "assigned": [], "whole": False, "classes": classes}
     if core:
-        m = np.zeros(core * core)
-        x = docs.mapInArrow(_counting(pairs, ["code", "n"], lambda k: (k,)), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
-        m[x["code"].to_numpy()] = x["n"].to_numpy()
-        fixed = rank < core
-        of[fixed] = exchange(m.reshape(core, core), classes)[rank[fixed]]
+        m = counted(docs.mapInArrow(_counting(lambda: pairs, ["code", "n"], lambda k: (k,)), "code long, n long"), core * core)
+        model["core_class"] = exchange(m.reshape(core, core), classes)
         for k in range(ROUNDS if V > core else 0):
             beside = shared.persist_shared(_beside(docs, model), spark)
-            x = beside.mapInArrow(_class_counts(of, classes), "code long, n double").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
-            N = np.zeros((classes + RARE + 1) ** 2)
-            N[x["code"].to_numpy()] = x["n"].to_numpy()
-            x = beside.mapInArrow(_assigned(of, fixed, N.reshape(classes + RARE + 1, -1), classes, k == ROUNDS - 1), "word int, class int").toPandas()
+            N = counted(beside.mapInArrow(_class_counts(model), "code long, n double"), total * total).reshape(total, total)
+            path = _written(beside.mapInArrow(_assigned(model, N, k == ROUNDS - 1), "word int, class int"), spark)
             shared.forget(beside, spark)
-            of = of.copy() if k < ROUNDS - 1 else np.maximum(of, 0)  # 0: a word without any neighbour
-            of[x["word"].to_numpy()] = x["class"].to_numpy()
-            model["class"] = of
-    total = classes + RARE + 1  # the last one is the border
-    bigrams = docs.mapInArrow(_counting(lambda w: _bigrams(model, w), ["code", "n"], lambda k: (k,)), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
-    B = np.zeros(total * total)
-    B[bigrams["code"].to_numpy()] = bigrams["n"].to_numpy()
-    B = B.reshape(total, total)
-    in_class = np.bincount(model["class"], minlength=classes)
-    members = np.bincount(model["class"], n, classes)
-    model["emit"] = np.log(n + 0.5) - np.log(members + 0.5 * in_class)[model["class"]]
-    model["rare"] = -np.log(np.maximum(rare, 1).astype(float))
+            model = model | {"assigned": [*model["assigned"], path]}
+    model = model | {"whole": True}
+
+    def prepare():
+        whole = _loaded(model)
+        return lambda w: _bigrams(whole, w)
+
+    B = counted(docs.mapInArrow(_counting(prepare, ["code", "n"], lambda k: (k,)), "code long, n long"), total * total).reshape(total, total)
     unigram = (B.sum(axis=0) + 0.5) / (B.sum() + 0.5 * total)
     seen = B.sum(axis=1, keepdims=True)
-    model["transit"] = np.log(np.where(seen > 0, LAMBDA * B / np.maximum(seen, 1), LAMBDA * unigram) + (1 - LAMBDA) * unigram)
-    return model
+    transit = np.log(np.where(seen > 0, LAMBDA * B / np.maximum(seen, 1), LAMBDA * unigram) + (1 - LAMBDA) * unigram)
+    return model | {"rare": -np.log(np.maximum(rare, 1).astype(float)), "transit": transit}
+
+
+def fit(docs: DataFrame, **sizes) -> dict:
+    """The model of _fitted() with its vocabulary, classes and emissions in memory."""
+    return _with_emissions(_fitted(docs, **sizes))
+
+
+def _starts(vocab: np.ndarray) -> np.ndarray:
+    """The place of the first of the sorted hashes with each value of their leading bits, about one hash a value."""
+    bits = max(1, len(vocab).bit_length())
+    return np.searchsorted(vocab, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).astype(np.int32)
 
 
-def _lookup_key(words: textkit.Words, vocab: np.ndarray) -> np.ndarray:
+def _lookup_key(words: textkit.Words, vocab: np.ndarray, starts: np.ndarray | None = None) -> np.ndarray:
+    """The place of each word in the vocabulary, or -1; with the vocabulary's _starts() in a few steps instead of a binary search."""
     key = words.hash & ~np.uint64(RARE - 1) | _length_class(words).astype(np.uint64)
     if not len(vocab):
         return np.full(len(key), -1)
-    at = np.minimum(np.searchsorted(vocab, key), len(vocab) - 1)
-    return np.where(vocab[at] == key, at, -1)
+    if starts is None:
+        at = np.minimum(np.searchsorted(vocab, key), len(vocab) - 1)
+        return np.where(vocab[at] == key, at, -1)
+    at = starts[key >> np.uint64(65 - len(starts).bit_length())].astype(np.int64)
+    ended = len(vocab) - 1
+    np.minimum(at, ended, out=at)
+    found = vocab[at]
+    live = np.flatnonzero((found < key) & (at < ended))
+    while len(live):
+        at[live] += 1
+        found[live] = vocab[at[live]]
+        live = live[(found[live] < key[live]) & (at[live] < ended)]
+    return np.where(found == key, at, -1)
 
 
 def _classes_of(model: dict, words: textkit.Words) -> tuple[np.ndarray, np.ndarray]:
-    i = _lookup_key(words, model["vocab"])
+    i = _lookup_key(words, model["vocab"], model.get("starts"))
     known = model["class"][np.maximum(i, 0)] if len(model["vocab"]) else i
     return i, np.where(i >= 0, known, model["classes"] + _length_class(words))
 
@@ -295,11 +370,12 @@ def log_probs(model: dict, words: textkit.Words) -> np.ndarray:
 def _score(model: dict):
     @shared.released
     def score(batches):
+        whole = _with_emissions(model)
         for b in batches:
             texts, ids = b.column("text"), b.column("doc_id")
             for at, to in textkit.slices(texts):
                 words = textkit.Words(texts.slice(at, to - at))
-                lp, n = log_probs(model, words), words.count
+                lp, n = log_probs(whole, words), words.count
                 ppl = np.exp(np.minimum(-lp / np.maximum(n, 1), 700))
                 yield pa.RecordBatch.from_arrays([ids.slice(at, to - at), pa.array(n.astype(np.int64)), pa.array(lp), pa.array(ppl, mask=n == 0)], ["doc_id", "n_words", "log_prob", "perplexity"])
 
@@ -308,5 +384,5 @@ def _score(model: dict):
 
 def perplexities(docs: DataFrame, **sizes) -> DataFrame:
     """(doc_id, n_words, log_prob, perplexity) of documents (doc_id, text) under the model of these same documents."""
-    model = fit(docs, **sizes)
+    model = _fitted(docs, **sizes)
     return shared.documents(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(_score(model), "doc_id long, n_words long, log_prob double, perplexity double")

@@ -100,6 +100,27 @@ def test_language_model_of_nothing(spark):
     assert [r.perplexity for r in classlm.perplexities(frame(spark, [(1, None), (2, "")])).collect()] == [None, None]
 
 
+def test_the_vocabulary_is_not_on_the_driver(spark, monkeypatch):
+    """No table of the vocabulary's size comes to the driver: it came three times, as an object for each row."""
+    rng = np.random.default_rng(8)
+    docs = frame(spark, [(i, " ".join(f"w{x}" for x in rng.integers(0, 3000, 200))) for i in range(150)])
+    seen = []
+    for name in ("collect", "toPandas", "toArrow"):
+        own = getattr(type(docs), name)
+        monkeypatch.setattr(type(docs), name, lambda self, *a, own=own, **k: (out := own(self, *a, **k), seen.append(len(out)))[0])
+    out = classlm.perplexities(docs, core=20, classes=4)
+    assert out.where("log_prob < 0").count() == 150
+    assert max(seen) <= 20 * 20
+    assert len(classlm.fit(docs, core=20, classes=4)["vocab"]) > 2500
+
+
+def test_words_are_found_by_their_starts():
+    w = textkit.Words(pa.array([" ".join(f"w{x}" for x in range(3000)), "", "w5 w5 other"]))
+    key = np.unique(w.hash & ~np.uint64(classlm.RARE - 1) | classlm._length_class(w).astype(np.uint64))
+    for vocab in (key, key[::2], key[:1], key[-1:], key[5:9], np.array([0, 1 << 63, (1 << 64) - 1], np.uint64), key[:0]):
+        assert (classlm._lookup_key(w, vocab, classlm._starts(vocab)) == classlm._lookup_key(w, vocab)).all()
+
+
 def test_vocabulary_follows_from_the_counts(spark):
     """All words seen LEAST times are in the model, each with its own emission."""
     rng = np.random.default_rng(4)
