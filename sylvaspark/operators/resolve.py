@@ -8,19 +8,21 @@ from sylvaspark.functions import scalar
 
 def exact_matches(names: DataFrame, catalogue: DataFrame) -> DataFrame:
     """(taxon_id, col_id, match_type, match_score) by name and rank, then by name for the rest. Null ranks match null ranks. Of several, the
-    status that sorts first counts, then the id."""
-    a = names.withColumn("_name", scalar.normalise_name("name"))
+    status that sorts first counts, then the id.
+
+    The catalogue is reduced to the first of each name and rank before names meet it, so a name that is frequent on both sides makes no pairs. Tables that grow
+    meet by sorting: small files may hold many rows, which a broadcast would bring to the driver."""
+    a = names.select("taxon_id", scalar.normalise_name("name").alias("_name"), F.lower("rank").alias("_rank"))
     b = catalogue.select("col_id", scalar.normalise_name("name").alias("_cname"), F.lower("rank").alias("_crank"), "status")
-    first = Window.partitionBy("taxon_id").orderBy(F.asc_nulls_last("status"), "col_id")
+    first = F.struct(F.isnull("status").alias("_last"), "status", F.isnull("col_id").alias("_none"), "col_id")
+    both = b.groupBy("_cname", "_crank").agg(F.min(first).alias("_both"))
+    only = both.groupBy(F.col("_cname").alias("_oname")).agg(F.min("_both").alias("_only"))
+    hits = a.join(both.hint("merge"), F.col("_name").eqNullSafe(F.col("_cname")) & F.col("_rank").eqNullSafe(F.col("_crank")), "left").select("taxon_id", "_name", "_both")
+    hits = hits.join(only.hint("merge"), F.col("_name").eqNullSafe(F.col("_oname")))
+    best = F.min(F.struct(F.isnull("_both").alias("_rest"), F.coalesce("_both", "_only").alias("_hit")))
+    hits = hits.groupBy("taxon_id").agg(best.alias("_best")).select("taxon_id", "_best._rest", "_best._hit.*")
     suffix = F.when(F.col("status") == "accepted", "accepted").otherwise("other_status")
-
-    def best(df: DataFrame, kind: str, score: float) -> DataFrame:
-        top = df.withColumn("_rn", F.row_number().over(first)).where("_rn = 1")
-        return top.select("taxon_id", "col_id", F.concat(F.lit(f"{kind}_"), suffix).alias("match_type"), F.lit(score).alias("match_score"))
-
-    both = best(a.join(b, F.col("_name").eqNullSafe(F.col("_cname")) & F.lower("rank").eqNullSafe(F.col("_crank"))), "exact_name_rank", 1.0)
-    rest = a.join(both.select("taxon_id"), "taxon_id", "left_anti")
-    return both.unionByName(best(rest.join(b, F.col("_name").eqNullSafe(F.col("_cname"))), "exact_name_only", 0.95))
+    return hits.select("taxon_id", "col_id", F.concat(F.when(F.col("_rest"), "exact_name_only_").otherwise("exact_name_rank_"), suffix).alias("match_type"), F.when(F.col("_rest"), 0.95).otherwise(1.0).alias("match_score"))
 
 
 def _segments(length: str, edits: str, i: str) -> tuple[str, str]:
