@@ -47,3 +47,7 @@ def holds(spark, folder, name, most=None):
 
 def test_ent_01_makes_no_pairs_of_equal_names(spark, tables):
     holds(spark, tables, "ent_01_exact_name_rank", 2 * N)
+
+
+def test_ent_02_makes_no_pairs_of_equal_names(spark, tables):
+    holds(spark, tables, "ent_02_exact_name_only", 2 * N)
