@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sylvaspark.functions import scalar
+from sylvaspark.plans.scratch import kept
 
 
 def exact_matches(names: DataFrame, catalogue: DataFrame) -> DataFrame:
@@ -35,21 +36,27 @@ def fuzzy_candidates(names: DataFrame, catalogue: DataFrame, cutoff: float = 90,
     """(taxon_id, col_id, score): the best `top` names of the catalogue with a score of `cutoff` or more, exactly.
 
     A name of length n differs from a partner by k = n (100 - cutoff) / cutoff edits at most. It is cut to k + 1 segments, one of which every partner holds unchanged, moved
-    by no more edits than may lie on either side of it; names meet by the equality of (length, number of the segment, segment) with those pieces of the catalogue's names."""
+    by no more edits than may lie on either side of it; names meet by the equality of (length, number of the segment, segment) with those pieces of the catalogue's names.
+
+    Distinct names are compared; of one name only the first `top` ids of the catalogue can count, so rows that share names make no pairs."""
     a = names.select("taxon_id", scalar.normalise_name("name").alias("_a")).where("_a <> ''")
     b = catalogue.select("col_id", scalar.normalise_name("name").alias("_b")).where("_b <> ''")
+
+    def first(df: DataFrame, key: str, *order) -> DataFrame:
+        return df.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(*order, F.asc_nulls_last("col_id")))).where(F.col("_rn") <= top).drop("_rn")
+
     edits = lambda n: f"cast(floor({n} * {(100 - cutoff) / cutoff} + 1e-9) as int)"
     start, size = _segments("_n", "_k", "_i")
     each = "explode(sequence(0, _k)) _i"
-    left = a.selectExpr("*", "length(_a) _n").selectExpr("*", f"{edits('_n')} _k").selectExpr("*", each).selectExpr("taxon_id", "_a", "_n", "_i", f"substring(_a, {start} + 1, {size}) _seg")
+    left = a.select("_a").distinct().selectExpr("*", "length(_a) _n").selectExpr("*", f"{edits('_n')} _k").selectExpr("*", each).selectExpr("_a", "_n", "_i", f"substring(_a, {start} + 1, {size}) _seg")
     lengths = f"explode(sequence(cast(ceil(length(_b) * {cutoff / 100} - 1e-9) as int), cast(floor(length(_b) * {100 / cutoff} + 1e-9) as int))) _n"
-    right = b.selectExpr("*", lengths).selectExpr("*", f"{edits('_n')} _k", "length(_b) - _n _d").selectExpr("*", each).selectExpr("*", f"{start} _s", f"{size} _z")
+    right = b.select("_b").distinct().selectExpr("*", lengths).selectExpr("*", f"{edits('_n')} _k", "length(_b) - _n _d").selectExpr("*", each).selectExpr("*", f"{start} _s", f"{size} _z")
     low, high = "greatest(0, _s - _i, _s + _d - (_k - _i))", "least(length(_b) - _z, _s + _i, _s + _d + (_k - _i))"
-    right = right.where(f"{low} <= {high}").selectExpr("col_id", "_b", "_n", "_i", "_z", f"explode(sequence({low}, {high})) _p").selectExpr("col_id", "_b", "_n", "_i", "substring(_b, _p + 1, _z) _seg").distinct()
-    pairs = left.join(right, ["_n", "_i", "_seg"]).select("taxon_id", "col_id", "_a", "_b").distinct()
+    right = right.where(f"{low} <= {high}").selectExpr("_b", "_n", "_i", "_z", f"explode(sequence({low}, {high})) _p").selectExpr("_b", "_n", "_i", "substring(_b, _p + 1, _z) _seg").distinct()
+    pairs = left.join(right.hint("merge"), ["_n", "_i", "_seg"]).select("_a", "_b").distinct()
     pairs = pairs.withColumn("score", scalar.similarity("_a", "_b")).where(F.col("score") >= cutoff)
-    w = Window.partitionBy("taxon_id").orderBy(F.desc("score"), "col_id")
-    return pairs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= top).select("taxon_id", "col_id", "score")
+    best = first(pairs.join(first(b, "_b").hint("merge"), "_b"), "_a", F.desc("score")).select("_a", "col_id", "score")
+    return first(a.join(best.hint("merge"), "_a"), "taxon_id", F.desc("score")).select("taxon_id", "col_id", "score")
 
 
 def resolve_homonyms(candidates: DataFrame, own: DataFrame, theirs: DataFrame, least: float = 89) -> DataFrame:
@@ -59,7 +66,7 @@ def resolve_homonyms(candidates: DataFrame, own: DataFrame, theirs: DataFrame, l
     a = own.select("taxon_id", *[F.col(c).alias(f"_o_{c}") for c in ("genus", "family", "order", "class", "phylum")])
     b = theirs.select("col_id", *[F.col(c).alias(f"_t_{c}") for c in ("genus", "family", "order", "class", "phylum")])
     points = lambda c, p: F.when(F.lower(f"_o_{c}") == F.lower(f"_t_{c}"), p).otherwise(0)
-    s = good.join(a, "taxon_id", "left").join(b, "col_id", "left").withColumn("_p", points("genus", 2) + points("family", 1) + points("order", 1) + points("class", 1) + points("phylum", 1))
+    s = good.join(a.hint("merge"), "taxon_id", "left").join(b.hint("merge"), "col_id", "left").withColumn("_p", points("genus", 2) + points("family", 1) + points("order", 1) + points("class", 1) + points("phylum", 1))
     known = F.coalesce(*[F.col(f"_o_{c}") for c in ("genus", "family", "order", "class", "phylum")]).isNotNull()
     w = Window.partitionBy("taxon_id").orderBy(F.desc("_p"), F.desc("score"), "col_id")
     kind = F.when(F.col("_n") == 1, "fuzzy_name_single_match").when(~known, "fuzzy_name_highest_score").when(F.col("_p") > 0, "fuzzy_name_with_ancestors").otherwise("fuzzy_name_no_ancestors")
@@ -69,11 +76,11 @@ def resolve_homonyms(candidates: DataFrame, own: DataFrame, theirs: DataFrame, l
 def crosswalk(names: DataFrame, catalogue: DataFrame, own: DataFrame, theirs: DataFrame) -> DataFrame:
     """All of the above in turn: names without an exact match are compared with the accepted names, and those that match none of them with all names. Without
     accepted names there are no fuzzy matches."""
-    exact = exact_matches(names, catalogue)
-    rest = names.join(exact.select("taxon_id"), "taxon_id", "left_anti")
+    exact = kept(exact_matches(names, catalogue))
+    rest = names.join(exact.select("taxon_id").hint("merge"), "taxon_id", "left_anti")
     accepted = catalogue.where("status = 'accepted'")
-    first = fuzzy_candidates(rest, accepted)
-    others = rest.join(first.select("taxon_id"), "taxon_id", "left_anti").join(accepted.limit(1).select(F.lit(1).alias("_any")), F.lit(True), "left_semi")
+    first = kept(fuzzy_candidates(rest, accepted))
+    others = rest.join(first.select("taxon_id").hint("merge"), "taxon_id", "left_anti").join(accepted.limit(1).select(F.lit(1).alias("_any")), F.lit(True), "left_semi")
     return exact.unionByName(resolve_homonyms(first.unionByName(fuzzy_candidates(others, catalogue)), own, theirs))
 
 

@@ -51,3 +51,7 @@ def test_ent_01_makes_no_pairs_of_equal_names(spark, tables):
 
 def test_ent_02_makes_no_pairs_of_equal_names(spark, tables):
     holds(spark, tables, "ent_02_exact_name_only", 2 * N)
+
+
+def test_ent_03_compares_distinct_names(spark, tables):
+    holds(spark, tables, "ent_03_fuzzy", 6 * N)
