@@ -65,7 +65,7 @@ def test_ent_03_compares_distinct_names(spark, tables):
     holds(spark, tables, "ent_03_fuzzy", 6 * N)
 
 
-@pytest.mark.parametrize("name", ["ent_04_homonyms", "flt_30_score_threshold", "jon_15_fuzzy", "srt_05_top5_candidates"])
+@pytest.mark.parametrize("name", ["ent_04_homonyms", "flt_30_score_threshold", "jon_15_fuzzy", "srt_05_top5_candidates", "win_08_best_homonym"])
 def test_fuzzy_queries_compare_distinct_names(spark, unique, name):
     holds(spark, unique, name, 6 * N)
 
