@@ -2,7 +2,9 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+from sylvaspark.operators import pairs
 from sylvaspark.plans import q_domain, q_relational, registry  # noqa: F401
 from tests.test_oracle import rows
 
@@ -75,3 +77,29 @@ def test_ent_05_makes_no_pairs_and_broadcasts_no_rows(spark, unique):
     holds(spark, unique, "ent_05_crosswalk", 6 * N)
     plan = registry.queries()["ent_05_crosswalk"](spark, unique)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan and plan.count("SortMergeJoin") > 4
+
+
+def most_in_a_task(df):
+    """The most rows that one partition gives, of how many."""
+    n = df.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    return max(r["count"] for r in n), sum(r["count"] for r in n)
+
+
+def test_pairs_of_a_frequent_key_are_spread(spark, monkeypatch):
+    """One key on both sides, with repeated rows, and one that no one shares."""
+    monkeypatch.setattr(pairs, "BLOCK", 50)
+    monkeypatch.setattr(pairs, "PAIRS", 20_000)
+    a = spark.range(1000).selectExpr("if(id % 100 = 0, null, 'k') k", "id div 2 x")
+    b = spark.range(500).selectExpr("if(id = 7, 'z', 'k') k", "concat('C', id) y")
+    out = pairs.pairs(a, b, "k")
+    assert out.exceptAll(a.join(b, "k").select(out.columns)).isEmpty()
+    most, n = most_in_a_task(out)
+    assert n == 990 * 499 and most < n / 4
+    assert pairs.pairs(a.limit(0), b, "k").count() == 0
+
+
+def test_jon_14_spreads_its_pairs(spark, tables, monkeypatch):
+    monkeypatch.setattr(pairs, "PAIRS", 10_000)
+    holds(spark, tables, "jon_14_null_safe_merge")
+    most, n = most_in_a_task(registry.queries()["jon_14_null_safe_merge"](spark, tables))
+    assert n > 100_000 and most < n / 3
