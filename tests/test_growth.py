@@ -103,3 +103,10 @@ def test_jon_14_spreads_its_pairs(spark, tables, monkeypatch):
     holds(spark, tables, "jon_14_null_safe_merge")
     most, n = most_in_a_task(registry.queries()["jon_14_null_safe_merge"](spark, tables))
     assert n > 100_000 and most < n / 3
+
+
+def test_jon_19_spreads_its_pairs(spark, tables, monkeypatch):
+    monkeypatch.setattr(pairs, "PAIRS", 20_000)
+    holds(spark, tables, "jon_19_lower_name")
+    most, n = most_in_a_task(registry.queries()["jon_19_lower_name"](spark, tables))
+    assert n > 400_000 and most < n / 3
