@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sylvaspark import registry as data
 from sylvaspark import schemas
 from sylvaspark.functions import scalar
-from sylvaspark.operators import annotate, delta, export, geo, legacy, numbering, quality, resolve, taxonomy
+from sylvaspark.operators import annotate, delta, export, geo, legacy, numbering, pairs, quality, resolve, taxonomy
 from sylvaspark.plans.q_relational import CLADE_LABEL, FUZZY, GRID, IMM, IN_EUR, IN_NA, NA, NORM, SIM, SPEC, TRUST
 from sylvaspark.plans.registry import query, scratch
 from sylvaspark.plans.scratch import kept
@@ -649,7 +649,7 @@ def _(r):
 @query("dlt_06_top_changed", f"WITH c AS ({CHANGE}), n AS (SELECT taxon_id, count(*) AS n FROM ({NEW}) GROUP BY 1) SELECT taxon_id, change, n FROM c JOIN n USING (taxon_id) WHERE change <> 'NO_CHANGE' ORDER BY n DESC, taxon_id LIMIT 100")
 def _(r):
     n = delta.new_observations(r.obs1, r.obs).groupBy("taxon_id").agg(F.count("*").alias("n"))
-    return delta.classify(r.taxa, r.taxa2, n).where("change <> 'NO_CHANGE'").join(n, "taxon_id").select("taxon_id", "change", "n").orderBy(F.desc("n"), "taxon_id").limit(100)
+    return delta.classify(r.taxa, r.taxa2).where("change <> 'NO_CHANGE'").join(n, "taxon_id").select("taxon_id", "change", "n").orderBy(F.desc("n"), "taxon_id").limit(100)
 
 
 MAPPING = """SELECT a.taxon_id, CASE WHEN b.taxon_id IS NULL THEN 'REMOVED' WHEN a.active AND NOT b.active THEN 'DEACTIVATED' WHEN a.rank_level <> b.rank_level THEN 'RANK_CHANGED' WHEN a.name <> b.name THEN 'RENAMED' END AS change_type, a.name, a.rank_level, a.ancestry, a.rank,
@@ -819,10 +819,11 @@ def _(r):
 
 
 def _within_ten_minutes(r, events):
-    """A range join as an equality on 10-minute cells: each interval is in the two cells that it may touch."""
-    cell = lambda c: F.floor(F.unix_micros(F.col(c).cast("timestamp")) / 600_000_000)
-    t = events.select(F.col("event_id").alias("ts_key"), "ts").withColumn("_cell", F.explode(F.array(cell("ts"), cell("ts") + 1)))
-    return r.ann.withColumn("_cell", cell("created_at")).join(t, "_cell").where("created_at >= ts and created_at < ts + interval 10 minutes").select("ts_key", "annotation_id")
+    """A range join as an equality on cells of 150 seconds: each interval is in the four or five cells that it touches, so four of five pairs that meet are in it."""
+    cell = lambda c, off=0: F.floor((F.unix_micros(F.col(c).cast("timestamp")) + off) / 150_000_000)
+    t = events.select(F.col("event_id").alias("ts_key"), "ts", F.explode(F.sequence(cell("ts"), cell("ts", 599_999_999))).alias("_cell"))
+    a = r.ann.select("annotation_id", "created_at", cell("created_at").alias("_cell"))
+    return pairs.pairs(t, a, "_cell").where("created_at >= ts and created_at < ts + interval 10 minutes").select("ts_key", "annotation_id")
 
 
 @query("win_09_lag_frames", "SELECT annotation_id, lag(annotation_id) OVER w AS before, CAST(sum(confidence) OVER (PARTITION BY subject_id ORDER BY annotation_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS BIGINT) AS recent FROM ann WINDOW w AS (PARTITION BY subject_id ORDER BY annotation_id)")

@@ -4,9 +4,10 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from sylvaspark.operators import pairs
+from sylvaspark.operators import delta, pairs
 from sylvaspark.plans import q_domain, q_relational, registry  # noqa: F401
-from tests.test_oracle import rows
+from sylvaspark.plans.roles import Roles
+from tests.test_oracle import DIR, rows
 
 N = 2000  # parts of eight names: 500,000 pairs of equal names
 
@@ -110,3 +111,14 @@ def test_jon_19_spreads_its_pairs(spark, tables, monkeypatch):
     holds(spark, tables, "jon_19_lower_name")
     most, n = most_in_a_task(registry.queries()["jon_19_lower_name"](spark, tables))
     assert n > 400_000 and most < n / 3
+
+
+def test_dlt_06_picks_taxa_behind_the_join(spark):
+    """A semi-join before it is copied into each part of the unions, and all copies sort their rows in the same tasks."""
+    r = Roles(spark, DIR)
+    only = r.obs1.select("taxon_id").distinct()
+    picked = delta.classify(r.taxa, r.taxa2, only)
+    assert picked._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi") == 1
+    assert registry.queries()["dlt_06_top_changed"](spark, DIR)._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi") == 0
+    keep = {t.taxon_id for t in only.collect()}
+    assert sorted((t.taxon_id, t.change) for t in picked.collect()) == sorted((t.taxon_id, t.change) for t in delta.classify(r.taxa, r.taxa2).collect() if t.taxon_id in keep)
