@@ -713,10 +713,20 @@ def _(r):
 
 
 # ---- streams (an extension)
-def _stream(r, name: str, schema=None):
+def _dropped(r, df, batches: int = 3, fmt: str = "parquet", **options) -> tuple[str, int]:
+    """A folder with the rows, and how many of its files make a batch. Files are as many as the rows have partitions, or a batch each where those are fewer, so they don't grow with the table."""
     folder = scratch(r.spark)
-    r.table(name).repartition(3).write.parquet(folder)
-    return jobs.drops(r.spark, folder, schema or r.table(name).schema)
+    df.write.format(fmt).options(**options).save(folder)
+    files = len(r.spark.read.text(folder).inputFiles())
+    if files < batches:
+        small, folder, files = r.spark.read.format(fmt).options(**options).schema(df.schema).load(folder), scratch(r.spark), batches
+        small.repartition(batches).write.format(fmt).options(**options).save(folder)
+    return folder, -(-files // batches)
+
+
+def _stream(r, name: str, schema=None):
+    folder, files = _dropped(r, r.table(name))
+    return jobs.drops(r.spark, folder, schema or r.table(name).schema, files)
 
 
 def _drained(r, stream, how="append"):
@@ -741,10 +751,9 @@ def _(r):
 
 @query("str_03_resumed_fill", f"WITH g AS ({GRID}) SELECT observation_uuid, elevation FROM g WHERE elevation IS NOT NULL")
 def _(r):
-    folder, out, mark = scratch(r.spark), scratch(r.spark), scratch(r.spark)
-    r.obs.repartition(3).write.parquet(folder)
+    (folder, files), out, mark = _dropped(r, r.obs), scratch(r.spark), scratch(r.spark)
     for _ in range(2):
-        stream = jobs.drops(r.spark, folder, r.obs.schema)
+        stream = jobs.drops(r.spark, folder, r.obs.schema, files)
         filled = geo.sample_grid(stream, r.cells, -18000, -9000, 1000).where("elevation is not null").select("observation_uuid", "elevation")
         filled.writeStream.format("parquet").option("path", out).option("checkpointLocation", mark).trigger(availableNow=True).start().awaitTermination()
     return r.spark.read.parquet(out)
@@ -765,9 +774,8 @@ def _(r):
 
 @query("str_05_file_drop", "SELECT taxon_id, rank FROM taxa")
 def _(r):
-    folder = scratch(r.spark)
-    r.taxa.repartition(2).write.csv(folder, sep="\t", quote="", header=True)
-    return _drained(r, jobs.drops(r.spark, folder, schemas.dump("taxa"), fmt="csv", sep="\t", header="true").select("taxon_id", "rank"))
+    folder, files = _dropped(r, r.taxa, 2, "csv", sep="\t", quote="", header="true")
+    return _drained(r, jobs.drops(r.spark, folder, schemas.dump("taxa"), files, fmt="csv", sep="\t", header="true").select("taxon_id", "rank"))
 
 
 # ---- user functions

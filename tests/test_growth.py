@@ -1,5 +1,7 @@
 """Queries over tables in which names repeat: as their SQL in DuckDB, with no step of more rows than the tables and the result account for."""
 
+import glob
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 from sylvaspark.operators import delta, pairs, taxonomy
 from sylvaspark.plans import q_domain, q_relational, registry  # noqa: F401
 from sylvaspark.plans.roles import Roles
+from sylvaspark.streaming import jobs
 from tests.test_oracle import DIR, rows
 
 N = 2000  # parts of eight names: 500,000 pairs of equal names
@@ -132,3 +135,15 @@ def test_hie_11_keeps_a_pair_one_row(spark):
     wide = Roles(spark, DIR).wide
     p = spark.createDataFrame([(g.a, g.b) for g in got[:5]] * 2, "a int, b int")
     assert sorted(taxonomy.common_ancestor(wide, p).collect()) == sorted(got[:5])
+
+
+def test_str_03_writes_as_many_files_as_rows_have_parts(spark, monkeypatch):
+    """Not three files, whose writers read a third of the table each; a batch has more of them instead."""
+    seen, drops = [], jobs.drops
+    monkeypatch.setattr(jobs, "drops", lambda *a, **k: seen.append(a) or drops(*a, **k))
+    for parts, want in ((12, (12, 4)), (1, (3, 1))):
+        r = Roles(spark, DIR)
+        n = r.obs.count()
+        r.obs = r.obs.repartition(parts)
+        assert 0 < registry.QUERIES["str_03_resumed_fill"](r).count() <= n
+        assert (len(glob.glob(seen[-1][1].removeprefix("file://") + "/*.parquet")), seen[-1][3]) == want
