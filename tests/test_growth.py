@@ -147,3 +147,9 @@ def test_str_03_writes_as_many_files_as_rows_have_parts(spark, monkeypatch):
         r.obs = r.obs.repartition(parts)
         assert 0 < registry.QUERIES["str_03_resumed_fill"](r).count() <= n
         assert (len(glob.glob(seen[-1][1].removeprefix("file://") + "/*.parquet")), seen[-1][3]) == want
+
+
+def test_jon_23_spreads_its_pairs(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "PAIRS", 300)
+    most, n = most_in_a_task(registry.queries()["jon_23_range_join"](spark, DIR))
+    assert n > 1000 and most < n / 3
